@@ -18,7 +18,7 @@ CHUNK = "_chunk"
 
 
 def split_ranges(df: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
-    """``df`` with the number of its range partition, written out so that the numbers cannot change."""
+    """``df`` with the number of its range partition, written to a table so that the numbers cannot change."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return materialize(df.repartitionByRange(parts, *by).withColumn(CHUNK, F.spark_partition_id()))
 

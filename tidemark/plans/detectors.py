@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.clock import Clock, as_clock, day_text
 from tidemark.functions.text import concat_text, csv_size, is_blank, tokens
-from tidemark.operators.aggregates import doc_counts, doc_list, docs_per_item, duplicate_keys
+from tidemark.operators.aggregates import doc_counts, doc_list, duplicate_keys
 from tidemark.operators.filters import changed_on, created_on, not_cancelled
 from tidemark.operators.joins import (
     csv_ref_join,
@@ -78,33 +78,21 @@ def live_doc_counts(head: DataFrame, line: DataFrame) -> DataFrame:
     return doc_counts(header_lines(not_cancelled(head, "is_n"), line))
 
 
-def _stale_lists(rows: DataFrame, counts: DataFrame, legacy: bool) -> DataFrame:
-    """Add ``differs``: whether a row's listed documents are not exactly the item's live ones."""
-    if legacy:
-        texts = doc_list(counts, distinct=True).select(F.col("item").alias("_item"), F.col("doc_list").alias("_text"))
-        joined = rows.join(texts, F.col("booking_id") == F.col("_item"), "left")
-        return joined.withColumn("differs", F.rtrim("_text") != F.rtrim("ar_refs")).drop("_item", "_text")
-    # Equal sets: as many listed numbers as live documents, and each listed one live. Counting both sides of
-    # the match keeps an item with very many documents out of any one cell.
-    listed = rows.select("booking_id", "ar_refs").distinct()
-    listed = listed.select(
-        "booking_id", "ar_refs", F.explode(F.array_distinct(tokens(F.col("ar_refs")))).alias("_token")
-    )
+def _listed_and_live(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with the number of documents each cell lists and how many of those are live.
+
+    Joining by (item, document) keeps an item with very many documents spread out.
+    """
+    numbers = F.transform(tokens(F.col("ar_refs")), lambda t: t.try_cast("bigint"))
+    listed = rows.select("*", F.explode_outer(F.array_distinct(numbers)).alias("doc_num"))
     live = counts.where(F.col("doc_num").isNotNull()).select(
-        F.col("item").alias("booking_id"), F.col("doc_num").cast("string").alias("_token"), F.lit(1).alias("_live")
+        F.col("item").alias("booking_id"), "doc_num", F.lit(1).alias("_live")
     )
-    matched = (
-        listed.join(live, ["booking_id", "_token"], "left")
+    return (
+        listed.join(live, ["booking_id", "doc_num"], "left")
         .groupBy("booking_id", "ar_refs")
-        .agg(F.count("*").alias("_listed"), F.count("_live").alias("_matched"))
+        .agg(F.count("*").alias("n_listed"), F.count("_live").alias("n_matched"))
     )
-    per_item = docs_per_item(counts, distinct=True).select(
-        F.col("item").alias("booking_id"), F.col("n_docs").alias("_distinct")
-    )
-    verdict = matched.join(per_item, "booking_id").withColumn(
-        "differs", (F.col("_listed") != F.col("_matched")) | (F.col("_matched") != F.col("_distinct"))
-    )
-    return rows.join(verdict.select("booking_id", "ar_refs", "differs"), ["booking_id", "ar_refs"], "left")
 
 
 def detect_arnr(
@@ -117,17 +105,27 @@ def detect_arnr(
 ) -> DataFrame:
     """Live receivable invoices exist, but the read model lists none, or fewer and different ones.
 
-    ``legacy`` compares the list as text instead of as a set of numbers; ``count_distinct`` counts documents
-    rather than invoice lines.
+    Lists differ unless they hold the same numbers; ``legacy`` compares them as text instead. With
+    ``count_distinct`` documents are counted rather than invoice lines.
     """
     counts = live_doc_counts(tables["receivable_head"], tables["receivable_line"])
-    n_docs = docs_per_item(counts, distinct=count_distinct).select(F.col("item").alias("booking_id"), "n_docs")
-    texts = doc_list(counts).select(F.col("item").alias("booking_id"), "doc_list")
-    rows = tables["read_model"].select("booking_id", "ar_refs").distinct().join(n_docs, "booking_id")
-    fewer = csv_size(F.col("ar_refs")) < F.col("n_docs")
-    stale = _stale_lists(rows, counts, legacy).where(is_blank(F.col("ar_refs")) | (fewer & F.col("differs")))
-    serial = concat_text("AR", F.col("doc_list"), "-NR-", as_clock(as_of).stamp())
-    return stale.join(texts, "booking_id").select(F.col("booking_id").alias("id"), serial.alias("serial")).distinct()
+    known = F.col("doc_num").isNotNull()
+    stats = counts.groupBy(F.col("item").alias("booking_id")).agg(
+        F.sum(F.when(known, F.col("n_lines")).otherwise(0)).alias("n_lines"), F.count("doc_num").alias("n_docs")
+    )
+    rows = tables["read_model"].select("booking_id", "ar_refs").distinct()
+    as_booking = lambda df, name: df.select(F.col("item").alias("booking_id"), F.col("doc_list").alias(name))
+    if legacy:
+        rows = rows.join(as_booking(doc_list(counts, distinct=True), "_text"), "booking_id", "left")
+        differs = F.rtrim("_text") != F.rtrim("ar_refs")
+    else:
+        rows = _listed_and_live(rows, counts)
+        differs = (F.col("n_listed") != F.col("n_matched")) | (F.col("n_matched") != F.col("n_docs"))
+    fewer = csv_size(F.col("ar_refs")) < (F.col("n_docs") if count_distinct else F.col("n_lines"))
+    stale = rows.join(stats, "booking_id").where(is_blank(F.col("ar_refs")) | (fewer & differs))
+    serial = concat_text("AR", F.col("listed"), "-NR-", as_clock(as_of).stamp())
+    named = stale.select("booking_id").distinct().join(as_booking(doc_list(counts), "listed"), "booking_id")
+    return named.select(F.col("booking_id").alias("id"), serial.alias("serial"))
 
 
 def detect_bn(tables: Tables, as_of: Clock, lookback_days: int = 0, latest: bool = False) -> DataFrame:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.locks import INFO, clean_ups, lock_holds, registration_intervals, registrations
+from tidemark.session import materialize
 from tidemark.sources.messages import dispatch, parse_messages, to_requests
 
 
 def read_requests(log: DataFrame) -> DataFrame:
-    """Usable requests of a message log."""
+    """Usable requests of a message log, written out: each step of the protocol reads them again."""
     valid, _ = parse_messages(log)
     usable, _ = to_requests(dispatch(valid))
-    return usable
+    return materialize(usable)
 
 
 def lock_history(requests: DataFrame, open_stints: DataFrame | None = None, parts: int | None = None) -> DataFrame:

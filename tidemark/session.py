@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,12 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once, so that values which a re-run could compute differently become data."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    This cuts the lineage, and values that a re-run could compute differently become data. The tables are
+    scratch, to be removed with the folder.
+    """
+    path = f"{shared_dir(df.sparkSession)}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

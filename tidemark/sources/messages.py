@@ -15,21 +15,31 @@ ROUTES = {
 }
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generator's only row.
+
+    Filters and projections above a generator keep referring to its output, so an expensive value is computed
+    once per row instead of once per mention.
+    """
+    return F.explode(F.array(value))
+
+
 def is_json_container(text: Column) -> Column:
     """Whether the text is one non-empty JSON object or array."""
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    entries = F.coalesce(F.size(F.json_object_keys(text)), F.json_array_length(text), F.lit(0))
-    # Wrapping rejects a valid value that is followed by something else.
-    one = F.try_parse_json(wrapped).isNotNull() & (F.json_array_length(wrapped) == 1)
-    return F.coalesce(F.try_parse_json(text).isNotNull() & one & (entries > 0), F.lit(False))
+    # Inside brackets, a valid value that is followed by something else is no longer valid or no longer alone.
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = wrapped.isNotNull() & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    container = text.rlike(r"^\s*[{\[]") & ~text.rlike(r"^\s*(\{\s*\}|\[\s*\])\s*$")
+    return F.coalesce(container & alone, F.lit(False))
 
 
 def parse_messages(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): messages with their fields, and texts that are no non-empty object or array."""
-    marked = log.withColumn("_ok", is_json_container(F.col("text")))
-    parsed = marked.where("_ok").withColumn("m", F.from_json("text", MESSAGE)).drop("_ok", "text")
+    marked = log.select("*", once(is_json_container(F.col("text"))).alias("_ok"))
+    rest = [c for c in log.columns if c != "text"]
+    parsed = marked.where("_ok").select(*rest, once(F.from_json("text", MESSAGE)).alias("m"))
     fields = ["sessionId", "type", "event", "data"]
-    valid = parsed.select(*[c for c in parsed.columns if c != "m"], *[F.col(f"m.{f}").alias(f) for f in fields])
+    valid = parsed.select(*rest, *[F.col(f"m.{f}").alias(f) for f in fields])
     return valid, marked.where("NOT _ok").drop("_ok")
 
 

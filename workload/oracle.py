@@ -145,7 +145,9 @@ ROLES = {
         FROM (SELECT *, string_split(serial, '-')[-1] AS seg FROM raw WHERE id IS NOT NULL) q""",
     "ledger": """SELECT DISTINCT item AS id,
         'AR' || doc_num || '-' || strftime(update_date, '%Y%m%d') || update_ts AS serial
-        FROM heads JOIN lines USING (doc_entry) WHERE CAST(item AS BIGINT) % 3 = 0""",
+        FROM heads JOIN lines USING (doc_entry) WHERE CAST(item AS BIGINT) % 3 = 0
+        UNION ALL SELECT CAST(p_partkey AS VARCHAR), unnest(['MISSING-19980601000000', 'PTF-19980601000000'])
+        FROM part WHERE p_partkey % 4 = 0""",
     "newest": """SELECT id, serial, detector, stamp FROM stamped
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY stamp DESC, rank, serial) = 1""",
     "ar_stamped": """SELECT *, CAST(substr(seg, 1, 8) || lpad(substr(seg, 9), 6, '0') AS BIGINT) AS stamp
@@ -199,8 +201,8 @@ ROLES = {
 
 
 def _metrics() -> dict[str, str]:
-    late = "CASE WHEN deadline IS NOT NULL THEN deadline + coalesce(holiday_days, 0) - CASE WHEN actual_received IS NULL"
-    late += f" OR actual_received = DATE'1900-01-01' THEN DATE'{AS_OF}' ELSE actual_received END ELSE 0 END"
+    late = "CAST(CASE WHEN deadline IS NOT NULL THEN deadline + coalesce(holiday_days, 0) - CASE WHEN actual_received IS NULL"
+    late += f" OR actual_received = DATE'1900-01-01' THEN DATE'{AS_OF}' ELSE actual_received END ELSE 0 END AS INT)"
     star = """SELECT p.*, b.code AS b_code, b.so_ref AS b_ref, t.code AS t_code, t.pv_no, r.code AS r_code, r.gross_rates,
           r.demurrage2, r.addtl_drop + r.boom_truck + r.manpower + r.backload AS extras, c.name AS c_name,
           coalesce(c.cdc, 0) AS cdc, coalesce(c.dcd, 0) AS dcd, c.group_location, k.name AS k_name,
@@ -212,8 +214,8 @@ def _metrics() -> dict[str, str]:
     blank = lambda d: f"({d} IS NULL OR {d} = DATE'1900-01-01')"
     first = f"""SELECT *, {net('gross_rates')} + {net('demurrage2')} + {net('extras')} AS carrier_total,
           CASE WHEN {blank('client_received')} THEN 'PENDING' ELSE 'SUBMITTED' END AS client_sub_status,
-          CASE WHEN NOT {blank('client_received')} AND NOT {blank('delivery_date')}
-               THEN (delivery_date - client_received) + dcd + coalesce(waived_days, 0) ELSE 0 END AS client_sub_overdue,
+          CAST(CASE WHEN NOT {blank('client_received')} AND NOT {blank('delivery_date')}
+               THEN (delivery_date - client_received) + dcd + coalesce(waived_days, 0) ELSE 0 END AS INT) AS client_sub_overdue,
           CASE WHEN NOT {blank('delivery_date')} THEN delivery_date + cdc END AS deadline FROM star"""
     second = f"""SELECT *, CASE WHEN client_sub_overdue < 0 THEN client_sub_overdue * 200 ELSE 0 END AS client_penalty,
           {late} AS overdue_days FROM m1"""

@@ -14,7 +14,7 @@ from tidemark.operators import aggregates as A, filters as FL, joins as J, locks
 from tidemark.operators.snapshots import pending_snapshots
 from tidemark.plans import booking_view as V, detectors as D, drift as R, fetch as P, refresh as RF
 from tidemark.plans.lock_history import lock_history, read_requests
-from tidemark.session import shared_dir
+from tidemark.session import materialize, shared_dir
 from tidemark.sources.events import read_event_file
 from tidemark.sources.ledger import append_ledger, ledger_for
 from tidemark.sources.messages import dispatch, parse_messages, to_requests
@@ -46,8 +46,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_requests(roles.message_log(spark, sf_dir))
 
 
-def holds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lock_history(requests(spark, sf_dir))
+def holds(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
+    return lock_history(asked if asked is not None else requests(spark, sf_dir))
 
 
 def at_id(name: str, alias: str):
@@ -295,7 +295,7 @@ def registration_intervals(spark, sf_dir):
 @query
 def holder_at(spark, sf_dir):
     asked = requests(spark, sf_dir)
-    found = L.holder_at(L.registrations(asked), holds(spark, sf_dir))
+    found = L.holder_at(L.registrations(asked), holds(spark, sf_dir, asked))
     return found.select("grp", "row_id", at_id("at", "event_id"), F.col("holder.client").alias("holder"))
 
 
@@ -640,7 +640,8 @@ def queue_position(spark, sf_dir):
 
 @query
 def registration_replies(spark, sf_dir):
-    replies = L.registration_replies(requests(spark, sf_dir), holds(spark, sf_dir))
+    asked = requests(spark, sf_dir)
+    replies = L.registration_replies(asked, holds(spark, sf_dir, asked))
     return replies.select(
         "event_id", "recipient", "session_id", "grp", F.array_join("ids", ",").alias("ids"),
         F.array_join("id_info.user_name", ",").alias("holders"),
@@ -655,7 +656,8 @@ def release_notices(spark, sf_dir):
 
 @query
 def unlock_requests(spark, sf_dir):
-    sent = L.unlock_requests(requests(spark, sf_dir), holds(spark, sf_dir))
+    asked = requests(spark, sf_dir)
+    sent = L.unlock_requests(asked, holds(spark, sf_dir, asked))
     return sent.select(
         "event_id", "recipient", "session_id", "status", "grp", F.element_at("ids", 1).alias("row_id"),
         F.col("requestor.client").alias("requestor"),
@@ -664,7 +666,8 @@ def unlock_requests(spark, sf_dir):
 
 @query
 def update_recipients(spark, sf_dir):
-    sent = L.update_recipients(requests(spark, sf_dir), L.waits(holds(spark, sf_dir)))
+    asked = requests(spark, sf_dir)
+    sent = L.update_recipients(asked, L.waits(holds(spark, sf_dir, asked)))
     return sent.select(at_id("at", "event_id"), "sender", "recipient", "grp")
 
 
@@ -673,7 +676,8 @@ _OUT = ["event_id", "kind", "recipient", "session_id", "event", "status", "grp"]
 
 @query
 def outbox(spark, sf_dir):
-    sent = L.route_messages(requests(spark, sf_dir), holds(spark, sf_dir))
+    asked = requests(spark, sf_dir)
+    sent = L.route_messages(asked, materialize(holds(spark, sf_dir, asked)))
     return sent.select(*_OUT, F.array_join("ids", ",").alias("ids"))
 
 

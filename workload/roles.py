@@ -222,10 +222,16 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Receivable events of every third booking, as already processed."""
-    docs = heads(spark, sf_dir).join(lines(spark, sf_dir), "doc_entry")
-    serial = "concat('AR', doc_num, '-', date_format(update_date, 'yyyyMMdd'), update_ts)"
-    return docs.where("CAST(item AS BIGINT) % 3 = 0").selectExpr("item AS id", f"{serial} AS serial").distinct()
+    """As already processed: receivable events of every third booking, two level events of every fourth."""
+    docs = heads(spark, sf_dir).join(lines(spark, sf_dir), "doc_entry").where("CAST(item AS BIGINT) % 3 = 0")
+    edge = docs.selectExpr(
+        "item AS id", "concat('AR', doc_num, '-', date_format(update_date, 'yyyyMMdd'), update_ts) AS serial"
+    )
+    level = given(spark, sf_dir, "part").where("p_partkey % 4 = 0").selectExpr(
+        "CAST(p_partkey AS STRING) AS id",
+        "explode(array('MISSING-19980601000000', 'PTF-19980601000000')) AS serial",
+    )
+    return edge.distinct().unionByName(level)
 
 
 def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,12 +246,13 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "events").selectExpr(
         "event_id",
         "ts",
-        f"""CASE event_type
+        # As a generator's row, the text is made once, like a stored column.
+        f"""explode(array(CASE event_type
             WHEN 'view' THEN concat({head('MESSAGE', 'REGISTRATION')}, {client}, {prop}, {ids})
             WHEN 'signup' THEN concat({head('MESSAGE', 'CLEAN_UP')}, {client}, '}}}}')
             WHEN 'click' THEN concat({head('MESSAGE', 'ASK_TO_UNLOCK')}, {client}, {prop}, {one})
             WHEN 'purchase' THEN concat({head('BROADCAST', 'UPDATE')}, {client}, {prop}, {ids})
-            ELSE CASE event_id % {len(junk)} {cases} END END AS text""",
+            ELSE CASE event_id % {len(junk)} {cases} END END)) AS text""",
     )
 
 
