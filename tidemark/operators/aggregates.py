@@ -38,7 +38,8 @@ def doc_list(counts: DataFrame, item: str = "item", distinct: bool = False) -> D
         "_nth", F.row_number().over(Window.partitionBy(item).orderBy(F.col("doc_num").asc_nulls_first()))
     ).where(F.col("_nth") <= LIST_DOCS)
     text = F.coalesce(F.col("doc_num").cast("string"), F.lit(""))
-    repeats = F.lit(1) if distinct else F.least(F.col("n_lines"), F.lit(LIST_DOCS)).cast("int")
+    # The count is used either way, so that both lists of one aggregate share its exchange.
+    repeats = F.least(F.col("n_lines"), F.lit(1 if distinct else LIST_DOCS)).cast("int")
     listed = ranked.groupBy(item).agg(
         F.sort_array(F.collect_list(F.struct("_nth", F.array_repeat(text, repeats).alias("docs")))).alias("_docs")
     )

@@ -7,7 +7,7 @@ that a newer event of the same id outranks.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,7 +27,7 @@ from tidemark.operators.joins import (
 )
 from tidemark.operators.merge import latest_per_id, with_stamp
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def document_serial(prefix: str, number: Column) -> Column:
@@ -74,8 +74,8 @@ def detect_ar(tables: Tables, as_of: Clock, lookback_days: int = 0, latest: bool
 
 
 def live_doc_counts(head: DataFrame, line: DataFrame) -> DataFrame:
-    """Lines per (item, live document)."""
-    return doc_counts(header_lines(not_cancelled(head, "is_n"), line))
+    """Lines per (item, live document); a document without a number can neither be counted nor listed."""
+    return doc_counts(header_lines(not_cancelled(head, "is_n").where(F.col("doc_num").isNotNull()), line))
 
 
 def _listed_and_live(rows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -85,9 +85,8 @@ def _listed_and_live(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """
     numbers = F.transform(tokens(F.col("ar_refs")), lambda t: t.try_cast("bigint"))
     listed = rows.select("*", F.explode_outer(F.array_distinct(numbers)).alias("doc_num"))
-    live = counts.where(F.col("doc_num").isNotNull()).select(
-        F.col("item").alias("booking_id"), "doc_num", F.lit(1).alias("_live")
-    )
+    # Built on the count, so that this use of the aggregate is the same as the others and shares their exchange.
+    live = counts.select(F.col("item").alias("booking_id"), "doc_num", F.least("n_lines", F.lit(1)).alias("_live"))
     return (
         listed.join(live, ["booking_id", "doc_num"], "left")
         .groupBy("booking_id", "ar_refs")
@@ -109,9 +108,8 @@ def detect_arnr(
     ``count_distinct`` documents are counted rather than invoice lines.
     """
     counts = live_doc_counts(tables["receivable_head"], tables["receivable_line"])
-    known = F.col("doc_num").isNotNull()
     stats = counts.groupBy(F.col("item").alias("booking_id")).agg(
-        F.sum(F.when(known, F.col("n_lines")).otherwise(0)).alias("n_lines"), F.count("doc_num").alias("n_docs")
+        F.sum("n_lines").alias("n_lines"), F.count("*").alias("n_docs")
     )
     rows = tables["read_model"].select("booking_id", "ar_refs").distinct()
     as_booking = lambda df, name: df.select(F.col("item").alias("booking_id"), F.col("doc_list").alias(name))

@@ -6,6 +6,8 @@ what real tables do: NULL and blank keys and cells, tokens with spaces, unreadab
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.aggregates import doc_list
@@ -200,21 +202,27 @@ def rates_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-class Tables(dict):
+class Tables(Mapping):
     """The engine's tables by role, each built when it is first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        super().__init__()
         makers = (pod, tp, billing, pricing, partner, payment_head, payment_line, read_model, rates_staging)
         self._makers = {make.__name__: make for make in makers} | {"item": items}
         self._makers |= {f"{role}_head": heads for role in DOC_ROLES} | {f"{role}_line": lines for role in DOC_ROLES}
         self._source = (spark, sf_dir)
+        self._built = {}
 
-    def __missing__(self, name: str) -> DataFrame:
+    def __getitem__(self, name: str) -> DataFrame:
         make = self._makers[name]
-        shared = [other for other, m in self._makers.items() if m is make and other in self]
-        self[name] = self[shared[0]] if shared else make(*self._source)
-        return self[name]
+        if make not in self._built:
+            self._built[make] = make(*self._source)
+        return self._built[make]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
