@@ -176,20 +176,22 @@ def contains_join(cells: DataFrame, cell: str, needles: DataFrame, needle: str)
     """Distinct ``cell`` values whose squeezed text contains a trimmed needle; blank needles match nothing.
 
     A needle can only occur where its first characters do, so every slice of a cell that is as long as some
-    needle's key is looked up by equality, and needles longer than their key are then compared in full.
+    needle's key is looked up by equality, and needles longer than their key are then compared in full. Squeezed
+    cells hold no space or comma, so needles that do are left out.
     """
     wanted = (
         needles.select(F.trim(F.col(needle)).alias("_needle"))
-        .where(F.col("_needle") != "")
+        .where((F.col("_needle") != "") & (F.col("_needle") == squeeze(F.col("_needle"))))
         .distinct()
         .withColumn("_slice", F.substring(F.col("_needle"), 1, SLICE_CHARS))
     )
     lengths = wanted.agg(F.collect_set(F.length("_slice"))).scalar()
     texts = cells.where(F.col(cell).isNotNull()).select(cell).distinct().withColumn("_text", squeeze(F.col(cell)))
     by_length = texts.select("*", F.explode(lengths).alias("_n")).where(F.length("_text") >= F.col("_n"))
-    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1)
-    slices = F.array_distinct(F.transform(starts, lambda i: F.substr(F.col("_text"), i, F.col("_n"))))
-    sliced = by_length.select(cell, "_text", F.explode(slices).alias("_slice"))
+    starts = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1))
+    sliced = by_length.select("*", starts.alias("_at")).select(
+        cell, "_text", F.substr(F.col("_text"), F.col("_at"), F.col("_n")).alias("_slice")
+    )
     return sliced.join(wanted, "_slice").where(F.contains("_text", "_needle")).select(cell).distinct()
 
 

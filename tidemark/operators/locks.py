@@ -121,6 +121,14 @@ def holder_at(probes: DataFrame, holds: DataFrame, parts: int | None = None) ->
     )
 
 
+def held_rows(requests: DataFrame, holds: DataFrame, parts: int | None = None) -> DataFrame:
+    """Each row that a registration or a request to unlock names, with its holder: one scan for both."""
+    asked = requests.where("route IN ('register', 'ask_to_unlock')").select(
+        "at", "session_id", "route", *INFO, "grp", F.posexplode("ids").alias("pos", "row_id")
+    )
+    return holder_at(asked, holds, parts)
+
+
 def waits(holds: DataFrame) -> DataFrame:
     """Stints that had to wait, with the moment the wait ended (NULL while it lasts)."""
     waited = F.col("granted_at").isNull() | (F.col("granted_at") != F.col("enter"))
@@ -162,9 +170,9 @@ def _outbox(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[columns.get(name, F.lit(None)).cast(kind.strip()).alias(name) for name, kind in fields])
 
 
-def registration_replies(requests: DataFrame, holds: DataFrame, parts: int | None = None) -> DataFrame:
+def registration_replies(held: DataFrame) -> DataFrame:
     """One reply per registration: the rows someone already holds, and who."""
-    asked = holder_at(registrations(requests), holds, parts)
+    asked = held.where("route = 'register'")
     info = F.struct("pos", F.col("row_id").alias("id"), "holder.client", "holder.user_id", "holder.user_name")
     locked = F.sort_array(F.collect_list(F.when(F.col("holder").isNotNull(), info)))
     # The collected list is the ids of one message.
@@ -186,15 +194,11 @@ def release_notices(holds: DataFrame) -> DataFrame:
     )
 
 
-def unlock_requests(requests: DataFrame, holds: DataFrame, parts: int | None = None) -> DataFrame:
+def unlock_requests(rows: DataFrame) -> DataFrame:
     """Requests to unlock, forwarded to the row's holder, or answered FAILED when nobody holds it."""
-    asked = requests.where("route = 'ask_to_unlock'").select(
-        "at", "session_id", *INFO, "grp", F.element_at("ids", 1).alias("row_id")
-    )
-    found = holder_at(asked, holds, parts)
     held = F.col("holder").isNotNull()
     return _outbox(
-        found, kind=F.lit("DIRECT"), recipient=F.coalesce("holder.client", "client"),
+        rows.where("route = 'ask_to_unlock'"), kind=F.lit("DIRECT"), recipient=F.coalesce("holder.client", "client"),
         session_id=F.when(held, "").otherwise(F.col("session_id")), event=F.lit("ASK_TO_UNLOCK"),
         status=F.when(held, "REQUEST").otherwise("FAILED"), grp=F.col("grp"), ids=F.array("row_id"),
         requestor=F.when(held, F.struct(*INFO)), sender=F.col("client"),
@@ -211,12 +215,13 @@ def update_notices(requests: DataFrame, holds: DataFrame) -> DataFrame:
 
 def route_messages(requests: DataFrame, holds: DataFrame, parts: int | None = None) -> DataFrame:
     """The outbox: one row per recipient of every message the requests lead to."""
+    held = held_rows(requests, holds, parts)
     return reduce(
         DataFrame.unionByName,
         [
-            registration_replies(requests, holds, parts),
+            registration_replies(held),
             release_notices(holds),
-            unlock_requests(requests, holds, parts),
+            unlock_requests(held),
             update_notices(requests, holds),
         ],
     )

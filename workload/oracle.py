@@ -41,7 +41,7 @@ ROLES = {
         CAST(o_orderkey * 7919 % 24 * 10000 + o_orderkey % 60 * 100 AS INT) AS update_ts,
         CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS cancelled,
         CASE WHEN o_orderkey % 5 = 0 THEN 'PV' || o_orderkey || ' , PV' || (o_orderkey + 1)
-             WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN '' ELSE 'PV' || o_orderkey END AS pv_no
+             WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 1009 = 0 THEN '' ELSE 'PV' || o_orderkey END AS pv_no
         FROM orders""",
     "lines": "SELECT l_orderkey AS doc_entry, CAST(l_partkey AS VARCHAR) AS item FROM lineitem",
     "pod": _pod(),

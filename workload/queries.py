@@ -641,7 +641,7 @@ def queue_position(spark, sf_dir):
 @query
 def registration_replies(spark, sf_dir):
     asked = requests(spark, sf_dir)
-    replies = L.registration_replies(asked, holds(spark, sf_dir, asked))
+    replies = L.registration_replies(L.held_rows(asked, holds(spark, sf_dir, asked)))
     return replies.select(
         "event_id", "recipient", "session_id", "grp", F.array_join("ids", ",").alias("ids"),
         F.array_join("id_info.user_name", ",").alias("holders"),
@@ -657,7 +657,7 @@ def release_notices(spark, sf_dir):
 @query
 def unlock_requests(spark, sf_dir):
     asked = requests(spark, sf_dir)
-    sent = L.unlock_requests(asked, holds(spark, sf_dir, asked))
+    sent = L.unlock_requests(L.held_rows(asked, holds(spark, sf_dir, asked)))
     return sent.select(
         "event_id", "recipient", "session_id", "status", "grp", F.element_at("ids", 1).alias("row_id"),
         F.col("requestor.client").alias("requestor"),
