@@ -29,7 +29,7 @@ def norm(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.oracles())
 
 
 @pytest.mark.parametrize("name", CHECKED)
