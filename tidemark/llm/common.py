@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +15,13 @@ from tidemark.session import materialize
 CHUNK_BYTES = 3 << 20
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, unless the session says where it is."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +40,7 @@ def drop(df: DataFrame) -> None:
 
 def texts_only(docs: DataFrame, *columns: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text`` and the named columns: other columns can't clash with what an operator adds."""
+    share_code(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *columns)
 
 
