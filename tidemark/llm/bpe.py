@@ -11,7 +11,7 @@ import base64
 import heapq
 import json
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -27,7 +27,7 @@ IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_WHITE, SPACE, ONE_LEFT, TWO_LEFT, DONE = r
 #: Pieces of more bytes are merged by a heap; shorter ones by columns of these widths.
 WIDTHS = (4, 8, 16, 32, 64)
 #: Distinct pieces that a worker keeps; beyond, it starts anew, which costs time only.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
 NEVER = np.int32(2**31 - 1)
 
 
@@ -179,8 +179,7 @@ class PairTable:
         keys, values = left.astype(np.uint64) << np.uint64(16) | right.astype(np.uint64), rank.astype(np.int32)
         self.merged = np.zeros(int(rank.max()) + 1, np.int32)
         self.merged[rank] = merged
-        self.best = dict(zip(keys.tolist(), values.tolist(), strict=True))
-        self.levels = []
+        self.keys, self.values, self.levels = keys, values, []
         while len(keys):
             bits = max(8, int(len(keys) * 4).bit_length())
             slot = self._slot(keys, bits)
@@ -192,6 +191,11 @@ class PairTable:
             rest[chosen] = False
             keys, values = keys[rest], values[rest]
 
+    @cached_property
+    def best(self) -> dict[int, int]:
+        """The same by single pairs, for long pieces."""
+        return dict(zip(self.keys.tolist(), self.values.tolist(), strict=True))
+
     def _slot(self, keys: np.ndarray, bits: int) -> np.ndarray:
         return (keys * (self.MULTIPLIER + np.uint64(2 * bits)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -346,20 +350,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class ByteBPE:
-    """Encodes as the vocabulary of a rank file says, and decodes."""
+    """Encodes as the vocabulary of a rank file says."""
 
     def __init__(self, path: str) -> None:
         ranks = read_ranks(path)
-        left, right, rank = [], [], []
-        for token, r in ranks.items():
-            for cut in range(1, len(token)):
-                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    left.append(a), right.append(b), rank.append(r)
-        rank_ = np.array(rank)
+        pairs = np.array([(a, b, r) for token, r in ranks.items() for k in range(1, len(token)) if (a := ranks.get(token[:k])) is not None and (b := ranks.get(token[k:])) is not None])
         bytes_ = np.array([ranks[bytes([b])] for b in range(256)])
-        self.whole = ranks
-        self.cache = PieceCache(Merger(PairTable(np.array(left), np.array(right), rank_, rank_), bytes_, bytes_))
+        self.cache = PieceCache(Merger(PairTable(*pairs.T, pairs[:, 2]), bytes_, bytes_))
+        self.decoder = ByteDecoder(ranks)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts end to end, and each text's number of ids."""
+        return self.cache.encode(Pieces(texts))
+
+
+class ByteDecoder:
+    """The bytes that ids stand for."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
         tokens = [b""] * (max(ranks.values()) + 1)
         for token, r in ranks.items():
             tokens[r] = token
@@ -367,10 +375,6 @@ class ByteBPE:
         self.starts = self.lengths.cumsum() - self.lengths
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts end to end, and each text's number of ids."""
-        return self.cache.encode(Pieces(texts))
-
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bytes of the ids end to end, and the number of bytes of each id."""
         lengths = self.lengths[ids]
@@ -429,6 +433,11 @@ def byte_bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+@lru_cache(2)
+def byte_decoder(path: str) -> ByteDecoder:
+    return ByteDecoder(read_ranks(path))
+
+
 @lru_cache(2)
 def word_bpe(path: str) -> WordBPE:
     return WordBPE(path)

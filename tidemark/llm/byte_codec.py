@@ -14,6 +14,10 @@ from tidemark.llm import bpe
 from tidemark.llm.common import chunks, table, texts_only
 
 
+#: Ids that a task decodes at a time.
+CHUNK_IDS = 1 << 19
+
+
 def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], counts.cumsum()]), pa.int32()), pa.array(values, pa.int32()))
 
@@ -30,7 +34,7 @@ def encode(docs: DataFrame, path: str, *, offsets: bool = True) -> DataFrame:
             ids, counts = coder.encode(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), lists(ids, counts)]
             if offsets:
-                lengths = coder.lengths[ids]
+                lengths = coder.decoder.lengths[ids]
                 at = lengths.cumsum() - lengths
                 first = (counts.cumsum() - counts)[counts > 0]
                 columns.append(lists(at - np.repeat(at[first], counts[counts > 0]), counts))
@@ -45,8 +49,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded``, the bytes that the ids stand for; null ids give no bytes."""
 
     def run(batches):
-        coder = bpe.byte_bpe(path)
-        for batch in chunks(batches, "size", bpe_chunk):
+        coder = bpe.byte_decoder(path)
+        for batch in chunks(batches, "size", CHUNK_IDS):
             given = batch.column("ids")
             ids = given.flatten().to_numpy(zero_copy_only=False)
             data, lengths = coder.decode(ids)
@@ -55,7 +59,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             decoded = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), given, decoded.cast(pa.binary())], ["doc_id", "ids", "decoded"])
 
-    bpe_chunk = 1 << 20
     whole = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return whole.withColumn("size", F.size("ids").cast("long")).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 

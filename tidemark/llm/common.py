@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.session import materialize
 
 #: Bytes of text that a Python task works on at a time; a longer text is a piece of its own.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def share_code(spark: SparkSession) -> None:
