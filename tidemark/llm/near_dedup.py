@@ -45,6 +45,12 @@ def most_differing_bits(percent: int, samples: int) -> int:
     return math.ceil(mean + SIGMAS * math.sqrt(mean * (1 - mean / SKETCH_BITS)))
 
 
+@lru_cache(8)
+def odd_numbers(n: int) -> np.ndarray:
+    """Factors of a sum of hashes, without a pattern by which sums could agree."""
+    return np.random.default_rng(3).integers(0, 1 << 64, n, np.uint64, endpoint=False) | np.uint64(1)
+
+
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of each text's distinct shingles, case of A-Z aside; fewer words are one shingle; none, none."""
     data = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
@@ -56,7 +62,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     sums = np.concatenate([np.zeros(1, np.uint64), (BYTE_CODES[data] * up).cumsum(dtype=np.uint64)])
     hashes = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64), 0)
     begins = np.searchsorted(first, np.concatenate([[0], ends]))
-    factors = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1) | 1 for k in range(words)], np.uint64)
+    factors = odd_numbers(words)
     whole = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for k, factor in enumerate(factors):
         whole += hashes[k : k + len(whole)] * factor
@@ -99,7 +105,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     samples = bands * ROWS
 
     def run(batches):
-        weights = np.array([[0xD6E8FEB86659FD93 * (2 * k + 1) & (2**64 - 1) for k in range(ROWS)]], np.uint64)
+        weights = odd_numbers(ROWS)
         for batch in chunks(batches):
             sizes, a, b, keys, sketches = [], [], [], [], []
             for hashes in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), words):

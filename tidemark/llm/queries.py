@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from tidemark.llm import exact_dedup, line_dedup, secret_scan
 from tidemark.llm.byte_codec import op2_byte_bpe
+from tidemark.llm.near_dedup import op1_near_dedup
 from tidemark.llm.packing import op3_best_fit_packing
 from tidemark.llm.token_files import op8_token_files
+from tidemark.llm.vector_search import op10_vector_search
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_byte_bpe, op3_best_fit_packing, exact_dedup.op4_exact_dedup, secret_scan.op5_secret_scan, line_dedup.op6_line_dedup, op8_token_files)
+    for f in (
+        op1_near_dedup,
+        op2_byte_bpe,
+        op3_best_fit_packing,
+        exact_dedup.op4_exact_dedup,
+        secret_scan.op5_secret_scan,
+        line_dedup.op6_line_dedup,
+        op8_token_files,
+        op10_vector_search,
+    )
 }
 ORACLES = {"op4_exact_dedup": exact_dedup.SQL, "op5_secret_scan": secret_scan.SQL, "op6_line_dedup": line_dedup.SQL}
