@@ -138,14 +138,29 @@ class Pieces:
         self.counts = np.diff(np.searchsorted(found, begins))
         self.starts, self.ends = at[found], at[ends]
 
-    def distinct(self) -> tuple[list[bytes], np.ndarray]:
-        """Distinct pieces, and which of them each piece is; told apart by 64 bits of a polynomial hash and the length."""
+    @classmethod
+    def between_blanks(cls, texts: list[bytes]) -> Pieces:
+        """Words between spaces, tabs and line breaks."""
+        self = cls.__new__(cls)
+        self.data = b"\n".join(texts) + b"\n"
+        data = np.frombuffer(self.data, np.uint8)
+        ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        edge = np.flatnonzero(np.diff(ink, prepend=False, append=False))
+        self.starts, self.ends = edge[::2], edge[1::2]
+        self.counts = np.diff(np.searchsorted(self.starts, np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])))
+        return self
+
+    def keys(self) -> np.ndarray:
+        """A 64-bit hash of each piece's bytes and length."""
         data = np.frombuffer(self.data, np.uint8)
         terms = BYTE_CODES[data]
         terms *= powers(len(data))[0]
         sums = np.concatenate([np.zeros(1, np.uint64), terms.cumsum(dtype=np.uint64)])
-        keys = (sums[self.ends] - sums[self.starts]) * powers(len(data))[1][self.starts] + (self.ends - self.starts).astype(np.uint64)
-        _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        return (sums[self.ends] - sums[self.starts]) * powers(len(data))[1][self.starts] + (self.ends - self.starts).astype(np.uint64)
+
+    def distinct(self) -> tuple[list[bytes], np.ndarray]:
+        """Distinct pieces, and which of them each piece is; told apart by 64 bits of a polynomial hash and the length."""
+        _, index, inverse = np.unique(self.keys(), return_index=True, return_inverse=True)
         return [self.data[a:b] for a, b in zip(self.starts[index].tolist(), self.ends[index].tolist(), strict=True)], inverse
 
 

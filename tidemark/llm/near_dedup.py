@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.bpe import BYTE_CODES, powers
+from tidemark.llm.bpe import Pieces
 from tidemark.llm.common import chunks, drop, saved, table, texts_only
 from tidemark.llm.components import connected_components
 from tidemark.llm.line_dedup import mixed
@@ -53,15 +53,8 @@ def odd_numbers(n: int) -> np.ndarray:
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of each text's distinct shingles, case of A-Z aside; fewer words are one shingle; none, none."""
-    data = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.flatnonzero(np.diff(ink, prepend=False, append=False))
-    first, last = edge[::2], edge[1::2]
-    up, down = powers(len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), (BYTE_CODES[data] * up).cumsum(dtype=np.uint64)])
-    hashes = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64), 0)
-    begins = np.searchsorted(first, np.concatenate([[0], ends]))
+    found = Pieces.between_blanks([t.lower() for t in texts])
+    hashes, begins = mixed(found.keys(), 0), np.concatenate([[0], found.counts.cumsum()])
     factors = odd_numbers(words)
     whole = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for k, factor in enumerate(factors):
@@ -169,12 +162,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = in_class.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     classes = saved(classes)
     sketches = classes.select("rep", "sketch")
+    rows = signed.select("doc_id", "n", "set_a", "set_b").join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"], "left")
+    rows = saved(rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")))
+    # An id with several texts is in several classes, and links them.
+    several = rows.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id")
+    given = saved(rows.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
     held = classes.select("rep", F.explode("bands").alias("key"))
     hubs = held.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "hub")
     members = saved(held.join(hubs, "key"))
     pairs = members.filter("rep <> hub").select(F.col("hub").alias("x"), F.col("rep").alias("y")).distinct()
     tested = saved(pairs)
-    links = true_links(tested, sketches, docs, words, percent)
+    links = true_links(tested, sketches, docs, words, percent).unionByName(given)
     components = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     members = members.filter("rep <> hub").select("key", "rep")
     wanted = 8
@@ -199,9 +197,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             components = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
         members = at.filter("NOT is_hub").select("key", "rep")
         wanted *= 8
-    found = signed.select("doc_id", "n", "set_a", "set_b").join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"], "left")
-    found = found.join(components.withColumnRenamed("node", "rep"), "rep", "left")
-    # An id with several texts is in several classes: all take its least component.
+    found = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -6,6 +6,8 @@ from tidemark.llm import exact_dedup, line_dedup, secret_scan
 from tidemark.llm.byte_codec import op2_byte_bpe
 from tidemark.llm.near_dedup import op1_near_dedup
 from tidemark.llm.packing import op3_best_fit_packing
+from tidemark.llm.quality import op7_quality
+from tidemark.llm.token_counts import op9_token_counts
 from tidemark.llm.token_files import op8_token_files
 from tidemark.llm.vector_search import op10_vector_search
 
@@ -18,7 +20,9 @@ QUERIES = {
         exact_dedup.op4_exact_dedup,
         secret_scan.op5_secret_scan,
         line_dedup.op6_line_dedup,
+        op7_quality,
         op8_token_files,
+        op9_token_counts,
         op10_vector_search,
     )
 }
