@@ -194,7 +194,7 @@ def dedup_lines(docs: DataFrame, *carry: str, min_chars: int = 40, min_docs: int
                     mine = np.flatnonzero(home == shard % shards)
                     known, counts, keeps = one.probe(low[mine], high[mine])
                     drops[mine] |= known & (counts >= min(min_docs, 0xFFFF)) & (keeps != ids[owner[mine]])
-                gone = [set(x) for x in batch.column("gone").to_pylist()]
+                gone = [set(x) for x in batch.column("_gone_at").to_pylist()]
                 for o, k in zip(owner[drops].tolist(), at[drops].tolist(), strict=True):
                     gone[o].add(k)
                 kept = batch.select(["doc_id", *carry])
@@ -202,19 +202,19 @@ def dedup_lines(docs: DataFrame, *carry: str, min_chars: int = 40, min_docs: int
                     texts = ["\n".join(x for k, x in enumerate(s[0]) if k not in g) if g else "\n".join(s[0]) for s, g in zip(split, gone, strict=True)]
                     more = {"text": pa.array(texts, pa.string()), "n_lines": pa.array([len(s[0]) for s in split], pa.int64()), "n_dropped": pa.array([len(g) for g in gone], pa.int64())}
                 else:
-                    more = {"text": batch.column("text"), "gone": pa.array([sorted(g) for g in gone], pa.list_(pa.int32()))}
+                    more = {"text": batch.column("text"), "_gone_at": pa.array([sorted(g) for g in gone], pa.list_(pa.int32()))}
                 yield pa.RecordBatch.from_arrays([*kept.columns, *more.values()], [*kept.schema.names, *more])
 
         return run
 
-    now = texts_only(docs, *carry).withColumn("gone", F.array().cast("array<int>"))
-    now = now.select("doc_id", *carry, "text", "gone")
+    now = texts_only(docs, *carry).withColumn("_gone_at", F.array().cast("array<int>"))
+    now = now.select("doc_id", *carry, "text", "_gone_at")
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields[:-1])
     for k, some in enumerate(rounds):
         rows = index.filter(F.col("shard").isin(some)).collect() if some else []
         files = spark.sparkContext.broadcast({r.shard: bytes(r.file) for r in rows})
         last = k == len(rounds) - 1
-        now = now.mapInArrow(prober(files, last), base + (", n_lines long, n_dropped long" if last else ", gone array<int>"))
+        now = now.mapInArrow(prober(files, last), base + (", n_lines long, n_dropped long" if last else ", _gone_at array<int>"))
         if not last:
             now = saved(now)
     return now

@@ -5,10 +5,10 @@ on. Bands of MinHash values deal classes into buckets; a band count follows from
 a link. All samples fold into a parity bitmap: bits in which two bitmaps differ tell how many samples do, most
 precisely where few do, and pairs that differ too much are left out before their sets are compared in full.
 
-Pairs of a bucket aren't written out. In each round some members are hubs and meet the others that are not yet in their component;
-hubs then leave the bucket, and a bucket whose members are in one component is finished. The first round takes one hub, later ones
-take ever more, from outside the bucket's largest component, until no bucket is open: then no link between two
-components is left unchecked.
+Pairs of a bucket aren't written out. First each bucket's members meet its hub, the class with most copies; sketches and then
+full sets decide. Members that are then in other components than most of the hub's company are compared with all of that company,
+in blocks of bounded size: a first pass over sketches leaves out rows that are close to none, a second one over full sets emits
+one link for each component that a member turns out to belong to. So no link between two components is left unchecked.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import Pieces
@@ -29,6 +30,8 @@ from tidemark.llm.line_dedup import mixed
 ROWS, MISS = 5, 1e-8
 #: Bits of a parity bitmap, and standard deviations that its estimate may be off before a pair is left out.
 SKETCH_BITS, SIGMAS = 1024, 5.5
+#: Rows, or hashes of their sets, in a block of members that are compared with each other.
+BLOCK_ROWS, BLOCK_HASHES = 1_024, 1 << 19
 #: Hashes of a long set that are sampled at a time.
 BLOCK = 1 << 11
 
@@ -149,6 +152,94 @@ def true_links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: in
     return links
 
 
+def in_blocks(company: DataFrame, payload: str, weight: Column, limit: int) -> DataFrame:
+    """Each hub's company in blocks: a strange member (in another component than most) meets all blocks, others come once a strange block.
+
+    ``company``: ``hub``, ``rep``, ``component``, ``strange``, ``n`` and the payload. Block counts follow from sums of ``weight``, so that no block holds much more than
+    ``limit``, save for a single row. Adds ``left``, ``right`` (block numbers) and ``is_left``.
+    """
+    sums = company.groupBy("hub").agg(F.sum(F.when(F.col("strange"), weight).otherwise(0)).alias("out"), F.sum(weight).alias("all"))
+    sums = sums.filter("out > 0").select("hub", F.ceil(F.col("out") / limit).cast("int").alias("lefts"), F.ceil(F.col("all") / limit).cast("int").alias("rights"))
+    lot = F.xxhash64("rep")
+    company = company.join(sums, "hub").withColumns({"own_left": F.pmod(lot, "lefts").cast("int"), "own_right": F.pmod(F.xxhash64("rep", F.lit(1)), "rights").cast("int")})
+    rest = ["hub", "rep", "component", "n", payload]
+    lefts = company.filter("strange").select(*rest, F.col("own_left").alias("left"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right"), F.lit(True).alias("is_left"))
+    rights = company.select(*rest, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), F.col("own_right").alias("right"), F.lit(False).alias("is_left"))
+    return lefts.unionByName(rights).groupBy("hub", "left", "right")
+
+
+def _sides(rows: pa.Table, payload: str) -> tuple[tuple, tuple]:
+    rows = rows.combine_chunks()
+    sides = []
+    for some in (rows.filter(rows.column("is_left")), rows.filter(pa.compute.invert(rows.column("is_left")))):
+        lists = some.column(payload).combine_chunks()
+        sides.append((some.column("rep").to_numpy(), some.column("component").to_numpy(), some.column("n").to_numpy(), lists.flatten().to_numpy(), np.diff(np.asarray(lists.offsets))))
+    return sides[0], sides[1]
+
+
+def close_rows(limit: int):
+    """Of a block, the members whose bitmap is close to another component's member's."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        (rep, component, _, sketch, _), (reps, components, _, sketches, _) = _sides(rows, "sketch")
+        words, found = SKETCH_BITS // 64, []
+        sketch, sketches = sketch.view(np.uint64).reshape(-1, words), sketches.view(np.uint64).reshape(-1, words)
+        near = np.zeros(len(reps), bool)
+        for k in range(len(rep)):
+            close = (components != component[k]) & (np.bitwise_count(sketches ^ sketch[k]).sum(1) <= limit)
+            if close.any():
+                found.append(rep[k])
+                near |= close
+        ids = np.unique(np.concatenate([np.array(found, np.int64), reps[near]]))
+        return pa.table({"hub": pa.array(np.full(len(ids), key[0].as_py(), np.int64)), "rep": pa.array(ids)})
+
+    return run
+
+
+def linked_rows(percent: int):
+    """Of a block, for each strange member one link to each other component that holds a similar one."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        (rep, component, n, hashes, sizes), (reps, components, ns, others, their) = _sides(rows, "hashes")
+        x, y = [], []
+        if len(rep) and len(reps):
+            names, ids = np.unique(np.concatenate([hashes, others]), return_inverse=True)
+            mine, theirs = np.split(ids[: len(hashes)], sizes.cumsum())[:-1], ids[len(hashes) :]
+            starts = their.cumsum() - their
+            for k, own in enumerate(mine):
+                marks = np.zeros(len(names), np.int32)
+                marks[own] = 1
+                common = np.add.reduceat(marks[theirs], starts)
+                linked = np.flatnonzero((components != component[k]) & (100 * common >= percent * (n[k] + ns - common)))
+                for at in linked[np.unique(components[linked], return_index=True)[1]]:
+                    x.append(rep[k]), y.append(reps[at])
+        return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+    return run
+
+
+def other_links(members: DataFrame, components: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (``x``, ``y``) between components: of members that share a bucket, and so its hub."""
+    at = members.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    open_keys = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    company = saved(at.join(open_keys, "key").select("hub", "rep", "component").distinct())
+    main = company.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("hub").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
+    company = company.join(main, "hub").withColumn("strange", F.col("component") != F.col("main")).drop("main")
+    # A hub that met all its company is in no unchecked pair.
+    company = saved(company.filter("rep <> hub").join(classes.select("rep", "n"), "rep"))
+    limit = most_differing_bits(percent, bands_for(percent) * ROWS)
+    sketched = company.join(classes.select("rep", "sketch"), "rep")
+    near = in_blocks(sketched, "sketch", F.lit(1), BLOCK_ROWS).applyInArrow(close_rows(limit), "hub long, rep long")
+    company = saved(company.join(near.distinct(), ["hub", "rep"]))
+    asked = company.select(F.col("rep").alias("doc_id")).distinct()
+    sets = saved(full_sets(docs.join(asked, "doc_id", "left_semi"), words).withColumnRenamed("doc_id", "rep"))
+    # A strange member's block holds its own set once more for each block it meets; sizes bound both.
+    with_sets = company.join(sets, "rep").withColumn("n", F.size("hashes").cast("long"))
+    links = saved(in_blocks(with_sets, "hashes", F.col("n"), BLOCK_HASHES).applyInArrow(linked_rows(percent), "x long, y long"))
+    drop(sets)
+    return links
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (the least id linked with it, over others too), ``kept``: a row for each row.
 
@@ -159,7 +250,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     docs = texts_only(docs)
     signed = saved(signatures(docs, words, percent))
     in_class = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = in_class.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+    classes = in_class.groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies"))
     classes = saved(classes)
     sketches = classes.select("rep", "sketch")
     rows = signed.select("doc_id", "n", "set_a", "set_b").join(classes.select("set_a", "set_b", "n", "rep"), ["set_a", "set_b", "n"], "left")
@@ -167,36 +258,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # An id with several texts is in several classes, and links them.
     several = rows.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select("doc_id")
     given = saved(rows.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("x"), F.col("rep").alias("y")))
-    held = classes.select("rep", F.explode("bands").alias("key"))
-    hubs = held.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "hub")
-    members = saved(held.join(hubs, "key"))
+    held = classes.select("rep", "copies", F.explode("bands").alias("key"))
+    hubs = held.groupBy("key").agg(F.min(F.struct(-F.col("copies"), "rep")).alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = saved(held.select("key", "rep").join(hubs.select("key", F.col("hub.rep").alias("hub")), "key"))
     pairs = members.filter("rep <> hub").select(F.col("hub").alias("x"), F.col("rep").alias("y")).distinct()
-    tested = saved(pairs)
-    links = true_links(tested, sketches, docs, words, percent).unionByName(given)
+    links = true_links(pairs, sketches, docs, words, percent).unionByName(given)
     components = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    members = members.filter("rep <> hub").select("key", "rep")
-    wanted = 8
-    while True:
-        at = members.join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        open_keys = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-        at = saved(at.join(open_keys, "key"))
-        if at.isEmpty():
-            break
-        by_part = at.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-        keys = by_part.groupBy("key").agg(F.max(F.struct("size", "component")).alias("most"), F.sum("size").alias("all"))
-        keys = keys.select("key", F.col("most.component").alias("main"), (F.col("all") - F.col("most.size")).alias("others"))
-        lot = F.pmod(F.xxhash64("rep", "key", F.lit(wanted)), F.lit(1 << 20)) * F.col("others") < F.lit(wanted << 20)
-        at = saved(at.join(keys, "key").withColumn("is_hub", (F.col("component") != F.col("main")) & lot).drop("main", "others"))
-        hub = at.filter("is_hub").select("key", F.col("rep").alias("hub"), F.col("component").alias("of"))
-        pairs = at.join(hub, "key").filter("component <> of").select(F.least("rep", "hub").alias("x"), F.greatest("rep", "hub").alias("y")).distinct()
-        pairs = saved(pairs.join(tested, ["x", "y"], "left_anti"))
-        more = true_links(pairs, sketches, docs, words, percent)
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(more)
-        if not more.isEmpty():
-            components = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        members = at.filter("NOT is_hub").select("key", "rep")
-        wanted *= 8
+    more = other_links(members, components, classes, docs, words, percent)
+    if not more.isEmpty():
+        components = connected_components(links.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
     found = rows.join(components.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -153,11 +153,11 @@ def build_index(docs: DataFrame, grams: list[str]) -> DataFrame:
 
 
 def candidates(postings: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """``doc_id``, ``kinds``: the rules that may match, by intersecting postings."""
+    """``doc_id``, ``_kinds``: the rules that may match, by intersecting postings."""
     rows = [(r.kind, n, gram, len(one)) for r in rules for n, one in enumerate(sorted(map(sorted, trigram_query(r.pattern)))) for gram in one]
     clauses = docs_of(postings, rows, "kind string, clause int, gram string, size int")  # a few rows for each rule
     hits = postings.join(F.broadcast(clauses), "gram").groupBy("doc_id", "kind", "clause", "size").agg(F.count_distinct("gram").alias("n"))
-    return hits.filter("n = size").groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
+    return hits.filter("n = size").groupBy("doc_id").agg(F.collect_set("kind").alias("_kinds"))
 
 
 def docs_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
@@ -200,7 +200,7 @@ def scan(docs: DataFrame, *carry: str, rules: tuple[Rule, ...] = RULES) -> DataF
     for rank, rule in enumerate(rules):
         may = F.col("text").rlike(rule.pattern)
         if rule in indexed:
-            may = (F.array_contains("kinds", rule.kind) | F.col("doc_id").isNull()) & may
+            may = (F.array_contains("_kinds", rule.kind) | F.col("doc_id").isNull()) & may
         parts.append(F.when(may, rule_spans(F.col("text"), rule, rank)).otherwise(none))
     return with_kinds.select("doc_id", *carry, "text", F.array_sort(F.flatten(F.array(*parts))).alias("spans"))
 
