@@ -166,6 +166,13 @@ def test_doc_list_is_cut_like_the_whole_list(frame):
             assert got[item] == (" " + ", ".join(map(str, docs)))[:LIST_CHARS]
 
 
+def test_doc_list_of_null_numbers_and_whole(frame):
+    counts = doc_counts(frame([("a", None)] * 600 + [("a", 5)], "item string, doc_num bigint"))
+    whole = " " + ", ".join([""] * 600 + ["5"])
+    assert doc_list(counts).first().doc_list == whole[:LIST_CHARS]
+    assert doc_list(counts, chars=None).first().doc_list == whole
+
+
 def test_reconcile_matches_pairs(frame):
     import itertools
     import random

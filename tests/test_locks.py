@@ -3,6 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import split_locks
@@ -111,7 +112,7 @@ def test_stream_is_the_batch(spark, frame, tmp_path):
     log = random_log(4, 240)
     rng = random.Random(9)
     stints, out = replay(log)
-    stream = LockStream(spark, str(tmp_path / "out"), parts=3)
+    stream = LockStream(spark, str(tmp_path / "out"), delay="0 seconds", parts=3)
     source = str(tmp_path / "in")
     low = 0
     for high in [*sorted(rng.sample(range(1, 240), 2)), 240]:
@@ -143,6 +144,15 @@ def test_late_and_pending_requests(spark, frame, tmp_path):
     assert dead == {(6, "malformed"), (4, "late")}
 
 
+def test_undated_requests_and_lost_state(spark, frame, tmp_path):
+    stream = LockStream(spark, str(tmp_path), delay="0 seconds", parts=2)
+    text = lambda i: message("MESSAGE", "REGISTRATION", f"c{i}", group="pod", ids=["1"])
+    stream.handle(frame([(1, START, text(1)), (2, None, text(2))], MESSAGE_LOG), 0)
+    assert {(r.event_id, r.reason) for r in stream.table("dead").collect()} == {(2, "undated")}
+    with pytest.raises(AnalysisException):
+        stream.handle(frame([(3, START, text(3))], MESSAGE_LOG), 5)
+
+
 def test_messages(frame):
     good = message("MESSAGE", "REGISTRATION", "a", group="pod", ids=["1", "1", "2"])
     texts = [good, "", "[]", " { } ", "null", '"{a}"', "7", "{", '{"a":1} x', "[1],[2]", "{'a':1}", "[1]", ' {"type":"X"}',

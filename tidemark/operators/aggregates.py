@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 # A document list is cut to this many characters, and is joined with this separator.
 LIST_CHARS = 1000
 LIST_SEPARATOR = ", "
-# Every listed document takes the separator and one digit at least, so no later one can reach the cut text.
-LIST_DOCS = LIST_CHARS // (len(LIST_SEPARATOR) + 1) + 1
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
@@ -28,20 +26,25 @@ def docs_per_item(counts: DataFrame, item: str = "item", distinct: bool = False)
     return counts.groupBy(item).agg(n.cast("bigint").alias("n_docs"))
 
 
-def doc_list(counts: DataFrame, item: str = "item", distinct: bool = False) -> DataFrame:
-    """Documents of each item in ascending order as one text with a leading space, cut to LIST_CHARS.
+def doc_list(
+    counts: DataFrame, item: str = "item", distinct: bool = False, chars: int | None = LIST_CHARS
+) -> DataFrame:
+    """Documents of each item in ascending order as one text with a leading space, cut to ``chars``.
 
-    Only the first LIST_DOCS documents can appear in the cut text, so the rest are left behind before the
-    shuffle and the collected list is bounded. Repeated lines repeat the document unless ``distinct``.
+    Every entry but the first takes its separator at least (a NULL number takes nothing more), so later documents
+    than that can't appear in the cut text; they are left behind before the shuffle and the collected list is
+    bounded. With ``chars`` None the list is whole. Repeated lines repeat the document unless ``distinct``.
     """
+    last = 2**31 - 1 if chars is None else chars // len(LIST_SEPARATOR) + 1
     ranked = counts.withColumn(
         "_nth", F.row_number().over(Window.partitionBy(item).orderBy(F.col("doc_num").asc_nulls_first()))
-    ).where(F.col("_nth") <= LIST_DOCS)
+    ).where(F.col("_nth") <= last)
     text = F.coalesce(F.col("doc_num").cast("string"), F.lit(""))
     # The count is used either way, so that both lists of one aggregate share its exchange.
-    repeats = F.least(F.col("n_lines"), F.lit(1 if distinct else LIST_DOCS)).cast("int")
+    repeats = F.least(F.col("n_lines"), F.lit(1 if distinct else last)).cast("int")
     listed = ranked.groupBy(item).agg(
         F.sort_array(F.collect_list(F.struct("_nth", F.array_repeat(text, repeats).alias("docs")))).alias("_docs")
     )
     joined = F.array_join(F.flatten(F.col("_docs.docs")), LIST_SEPARATOR)
-    return listed.select(item, F.substring(F.concat(F.lit(" "), joined), 1, LIST_CHARS).alias("doc_list"))
+    text = F.concat(F.lit(" "), joined)
+    return listed.select(item, (text if chars is None else F.substring(text, 1, chars)).alias("doc_list"))

@@ -78,14 +78,23 @@ def keyed_join(events: DataFrame, rows: DataFrame, keys: list[str], latest: bool
 
 
 def multivalue_join(
-    head: DataFrame, line: DataFrame, rows: DataFrame, csv: str = "pv_no", latest: bool = False
+    head: DataFrame,
+    line: DataFrame,
+    rows: DataFrame,
+    csv: str = "pv_no",
+    latest: bool = False,
+    blanks: bool = True,
 ) -> DataFrame:
     """Rows whose reference equals the head's, or either of which lists the other, or whose id is a line item.
 
     Each alternative becomes a tag, so the disjunction is one equi-join on (tag, key). ``head`` carries
-    ``serial`` (and ``stamp`` when ``latest``).
+    ``serial`` (and ``stamp`` when ``latest``). Blank references equal each other, as in SQL, which pairs every blank
+    head with every blank row unless ``latest``; with ``blanks`` False they match nothing.
     """
-    return keyed_join(head_keys(head, line, csv), reference_keys(rows, csv), ["tag", "key"], latest)
+    heads, refs = head_keys(head, line, csv), reference_keys(rows, csv)
+    if not blanks:
+        heads = heads.where(~is_blank(F.col("key")))
+    return keyed_join(heads, refs, ["tag", "key"], latest)
 
 
 def csv_refs(rows: DataFrame, columns: list[str], row_id: str = "booking_id") -> DataFrame:

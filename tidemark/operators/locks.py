@@ -184,6 +184,13 @@ def registration_replies(held: DataFrame) -> DataFrame:
     )
 
 
+def with_lock_id(holds: DataFrame) -> DataFrame:
+    """Add ``lock_id``: the same for the same lock in every run; NULL while the client waits."""
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("grp", "row_id", "client")]
+    name = F.concat_ws("|", *parts, F.col("granted_at.event_id").cast("string"))
+    return holds.withColumn("lock_id", F.when(F.col("granted_at").isNotNull(), F.md5(name.cast("binary"))))
+
+
 def release_notices(holds: DataFrame) -> DataFrame:
     """To each client whose wait for a row ended with the lock; caused by the clean-up that freed it."""
     promoted = holds.where("granted_at IS NOT NULL AND granted_at != enter AND NOT known")

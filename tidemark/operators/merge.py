@@ -39,6 +39,11 @@ def order_by_stamp(events: DataFrame) -> DataFrame:
     return events.orderBy(*newest_first())
 
 
+def with_position(events: DataFrame) -> DataFrame:
+    """``events`` in order, with ``position``: larger for each later one, not without gaps. No task sees all events."""
+    return order_by_stamp(events).withColumn("position", F.monotonically_increasing_id())
+
+
 def limit_events(events: DataFrame, n: int | None) -> DataFrame:
     """The first ``n`` events in order; no trim for None or 0."""
     return order_by_stamp(events).limit(n) if n else events

@@ -39,7 +39,7 @@ PRICING_TP = [
 ]
 BILLABLE = ("Verified", "ForAdvanceBilling")
 PAYABLE = ("Verified",)
-# Fixed value: the status is compared as a text of at most this length.
+# Fixed value: the source compares the status as a text of at most this length.
 STATUS_CHARS = 100
 
 
@@ -63,20 +63,29 @@ def detect_tpdi(pricing: DataFrame, tp: DataFrame, as_of: Clock) -> DataFrame:
     return _stamped(reconcile_numeric(pricing, tp, "booking_id", "booking_id", PRICING_TP), "T-BTPDI-", as_of)
 
 
-def _verified_absent(pod: DataFrame, side: DataFrame, extract: DataFrame, needles: tuple[str, ...]) -> DataFrame:
-    status = F.substring("status_detail", 1, STATUS_CHARS)
+def _verified_absent(
+    pod: DataFrame, side: DataFrame, extract: DataFrame, needles: tuple[str, ...], status_chars: int | None
+) -> DataFrame:
+    status = F.col("status_detail") if status_chars is None else F.substring("status_detail", 1, status_chars)
     wanted = pod.where(text_has(status, *needles) & F.col("booking_id").isNotNull())
     absent = not_in(wanted.select("booking_id"), "booking_id", extract, "booking_id")
     ids = absent.join(side.select("booking_id"), "booking_id", "left_semi").distinct()
     return ids.withColumnRenamed("booking_id", "id")
 
 
-def detect_bvnr(pod: DataFrame, billing: DataFrame, extract: DataFrame, as_of: Clock) -> DataFrame:
-    """Bookings ready to bill that the billing extract lacks; its NULL keys are not filtered out."""
-    return _stamped(_verified_absent(pod, billing, extract, BILLABLE), "B-TBVNR-", as_of)
+def detect_bvnr(
+    pod: DataFrame, billing: DataFrame, extract: DataFrame, as_of: Clock, status_chars: int | None = STATUS_CHARS
+) -> DataFrame:
+    """Bookings ready to bill that the billing extract lacks; one NULL key there silences the detector.
 
+    The status is searched in its first ``status_chars`` characters, or whole with None.
+    """
+    return _stamped(_verified_absent(pod, billing, extract, BILLABLE, status_chars), "B-TBVNR-", as_of)
 
-def detect_tvnr(pod: DataFrame, tp: DataFrame, extract: DataFrame, as_of: Clock) -> DataFrame:
+
+def detect_tvnr(
+    pod: DataFrame, tp: DataFrame, extract: DataFrame, as_of: Clock, status_chars: int | None = STATUS_CHARS
+) -> DataFrame:
     """Verified bookings that the carrier extract lacks; its NULL keys are filtered out."""
     known = extract.where(F.col("booking_id").isNotNull())
-    return _stamped(_verified_absent(pod, tp, known, PAYABLE), "T-TBVNR-", as_of)
+    return _stamped(_verified_absent(pod, tp, known, PAYABLE, status_chars), "T-TBVNR-", as_of)

@@ -16,6 +16,15 @@ def read_requests(log: DataFrame) -> DataFrame:
     return materialize(usable)
 
 
+def rejected_messages(log: DataFrame) -> DataFrame:
+    """What ``read_requests`` leaves out of a message log: ``event_id``, ``ts``, ``reason``."""
+    valid, malformed = parse_messages(log)
+    _, invalid = to_requests(dispatch(valid))
+    return malformed.select("event_id", "ts", F.lit("malformed").alias("reason")).unionByName(
+        invalid.select("at.event_id", "at.ts", F.lit("invalid").alias("reason"))
+    )
+
+
 def lock_history(requests: DataFrame, open_stints: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Every stint with its grant; ``open_stints`` are earlier results whose ``leave`` is still unknown."""
     entries = registrations(requests).select("client", "grp", "row_id", "at", "user_id", "user_name")

@@ -23,6 +23,7 @@ _LINE = dict(doc_entry=_L, item=_S)
 _SIDE = dict(booking_id=_S, code=_S)
 
 EVENT = T.StructType([T.StructField("id", _S, False), T.StructField("serial", _S, False)])
+EVENT_FILE = T.StructType([*EVENT.fields, T.StructField("bad_text", _S)])
 LEDGER = _table(id=_S, serial=_S, processed_at=T.TimestampType(), day=_DATE)
 
 TABLES: dict[str, T.StructType] = {

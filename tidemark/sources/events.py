@@ -3,15 +3,31 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.schemas import EVENT
+from tidemark.schemas import EVENT, EVENT_FILE
 
 
-def read_event_file(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Events of a JSON array, or of JSON lines; a missing or unreadable file means no events."""
+def _rows(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     try:
-        rows = spark.read.schema(EVENT).json(path, multiLine=multi_line, mode="DROPMALFORMED")
-    except AnalysisException:
-        return spark.createDataFrame([], EVENT)
-    return rows.where("id IS NOT NULL AND serial IS NOT NULL")
+        return spark.read.schema(EVENT_FILE).json(
+            path, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord="bad_text"
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], EVENT_FILE)
+
+
+def _usable():
+    return F.col("bad_text").isNull() & F.col("id").isNotNull() & F.col("serial").isNotNull()
+
+
+def read_event_file(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Events of a JSON array, or of JSON lines; a missing file means no events."""
+    return _rows(spark, path, multi_line).where(_usable()).select(*EVENT.names)
+
+
+def rejected_events(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """What ``read_event_file`` leaves out: rows without an id or a serial, and text that is no such JSON."""
+    return _rows(spark, path, multi_line).where(~_usable())

@@ -108,6 +108,11 @@ ROLES = {
           OR list_contains(list_transform(string_split(t.pv_no, ','), lambda x: trim(x)), rtrim(h.pv_no))
           OR list_contains(list_transform(string_split(h.pv_no, ','), lambda x: trim(x)), rtrim(t.pv_no))
           OR t.booking_id = l.item""",
+    "named_by": """SELECT DISTINCT t.booking_id, h.doc_num FROM heads h LEFT JOIN lines l ON l.doc_entry = h.doc_entry
+        JOIN tp t ON (rtrim(t.pv_no) = rtrim(h.pv_no) AND trim(h.pv_no) <> '')
+          OR (trim(h.pv_no) <> '' AND list_contains(list_transform(string_split(t.pv_no, ','), lambda x: trim(x)), rtrim(h.pv_no)))
+          OR (trim(t.pv_no) <> '' AND list_contains(list_transform(string_split(h.pv_no, ','), lambda x: trim(x)), rtrim(t.pv_no)))
+          OR t.booking_id = l.item""",
     "op": f"""SELECT DISTINCT m.booking_id AS id, 'OP' || p.doc_num || '-' || strftime(p.update_date, '%Y%m%d') || p.update_ts AS serial
         FROM payment_head p JOIN payment_line pl ON pl.doc_num = p.doc_entry JOIN heads h ON h.doc_entry = pl.doc_entry
         JOIN (SELECT booking_id, TRY_CAST(trim(unnest(string_split(doc_refs, ','))) AS BIGINT) AS ref FROM read_model
@@ -275,9 +280,9 @@ def _pairs_number(pairs: list[tuple[str, str]]) -> str:
     return " OR ".join(tests)
 
 
-def _verified(prefix: str, tests: str, side: str, extract: str) -> str:
+def _verified(prefix: str, tests: str, side: str, extract: str, known: str = "WHERE booking_id IS NOT NULL") -> str:
     return f"""SELECT DISTINCT booking_id AS id, '{prefix}-{NOW}' AS serial FROM pod WHERE ({tests})
-        AND booking_id NOT IN (SELECT booking_id FROM {extract} WHERE booking_id IS NOT NULL)
+        AND booking_id NOT IN (SELECT booking_id FROM {extract} {known})
         AND booking_id IN (SELECT booking_id FROM {side} WHERE booking_id IS NOT NULL)"""
 
 
@@ -290,7 +295,32 @@ _KEPT = "SELECT grp, row_id, client, enter AS enter_id FROM holds WHERE granted
 _PROCESSED = "NOT EXISTS (SELECT 1 FROM ledger l WHERE l.id = q.id AND l.serial = q.serial)"
 _TOKENS = "list_transform(string_split(pv_no, ','), lambda x: trim(x))"
 
+_BILLABLE = "status_detail LIKE '%Verified%' OR status_detail LIKE '%ForAdvanceBilling%'"
+_ROWS = """SELECT p.booking_id, so_ref, doc_refs, paid_refs, ar_refs, ptf_no
+    FROM (SELECT booking_id, max(ptf_no) AS ptf_no FROM pod WHERE booking_id IS NOT NULL GROUP BY booking_id) p
+    LEFT JOIN (SELECT booking_id, max(so_ref) AS so_ref FROM billing GROUP BY booking_id) USING (booking_id)
+    LEFT JOIN (SELECT item AS booking_id, string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) AS ar_refs
+               FROM (SELECT DISTINCT item, doc_num FROM live) GROUP BY item) USING (booking_id)
+    LEFT JOIN (SELECT booking_id, string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) AS doc_refs,
+                 string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) FILTER (WHERE settled) AS paid_refs
+               FROM (SELECT *, doc_num IN (SELECT h.doc_num FROM payment_head p JOIN payment_line pl ON pl.doc_num = p.doc_entry
+                                           JOIN heads h ON h.doc_entry = pl.doc_entry WHERE p.cancelled <> 'Y') AS settled
+                     FROM named_by) GROUP BY booking_id) USING (booking_id)"""
+
 BODIES = {
+    "model_rows": _ROWS,
+    "refresh_converges": "SELECT id, serial FROM newest WHERE id LIKE '%5' AND id IN (SELECT booking_id FROM pod)",
+    "refresh_with_scrub": """SELECT booking_id,
+          CASE WHEN amount = 'NaN' AND booking_id IN (SELECT booking_id FROM pod WHERE status_detail = 'Verified') THEN NULL ELSE amount END AS amount,
+          CASE WHEN addl_amount = 'NaN' AND booking_id IN (SELECT booking_id FROM pod WHERE status_detail = 'Verified') THEN NULL ELSE addl_amount END AS addl_amount
+        FROM rates_staging""",
+    "process_partial_failure": "SELECT DISTINCT booking_id FROM pod WHERE booking_id LIKE '%3' AND booking_id <> '13'",
+    "event_file_array": "SELECT id, serial FROM ar",
+    "lock_ids": """SELECT grp, row_id, client, granted AS granted_id, md5(concat_ws('|', grp, row_id, client, granted)) AS lock_id
+        FROM holds WHERE granted IS NOT NULL""",
+    "release_payloads": """SELECT granted AS event_id, client AS recipient,
+          '{"sessionId":"","type":"MESSAGE","event":"RELEASE","data":{"prop":{"group":"' || grp || '","id":"' || row_id || '"}}}' AS payload
+        FROM holds WHERE granted <> enter""",
     "read_table_source": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "event_file": f"SELECT {_EVENT} FROM ar",
     "incremental_poll": "SELECT event_id, event_type FROM events",
@@ -393,9 +423,8 @@ BODIES = {
         JOIN pricing_extract p ON p.booking_id = o.booking_id WHERE {_pairs_number(PRICING_BILLING)}""",
     "detect_tpdi": f"""SELECT DISTINCT o.booking_id AS id, 'T-BTPDI-{NOW}' AS serial FROM tp_extract o
         JOIN pricing_extract p ON p.booking_id = o.booking_id WHERE {_pairs_number(PRICING_TP)}""",
-    "detect_bvnr": _verified(
-        "B-TBVNR", "status_detail LIKE '%Verified%' OR status_detail LIKE '%ForAdvanceBilling%'", "billing", "billing_extract"
-    ),
+    "detect_bvnr": _verified("B-TBVNR", _BILLABLE, "billing", "billing_extract", ""),
+    "detect_bvnr_clean_keys": _verified("B-TBVNR", _BILLABLE, "billing", "billing_extract"),
     "detect_tvnr": _verified("T-TBVNR", "status_detail LIKE '%Verified%'", "tp", "tp_extract"),
     "fetch_events": "SELECT id, serial, detector, stamp FROM newest",
     "fetch_dedupe_then_exclude": f"SELECT id, serial, detector, stamp FROM newest q WHERE {_PROCESSED}",

@@ -17,7 +17,7 @@ from tidemark.plans.lock_history import lock_history, read_requests
 from tidemark.session import materialize, shared_dir
 from tidemark.sources.events import read_event_file
 from tidemark.sources.ledger import append_ledger, ledger_for
-from tidemark.sources.messages import dispatch, parse_messages, to_requests
+from tidemark.sources.messages import dispatch, parse_messages, payload, to_requests
 from tidemark.sources.read_model import ReadModel, upsert_rows
 from tidemark.sources.tables import TableConfig, read_table
 from tidemark.streaming.lock_stream import LockStream
@@ -70,6 +70,16 @@ def event_file(spark, sf_dir):
     return read_event_file(spark, path, multi_line=False)
 
 
+@query
+def event_file_array(spark, sf_dir):
+    """The same events as files of one JSON array each."""
+    path = scratch(spark, "events")
+    events = D.detect_ar(tables(spark, sf_dir), AS_OF, LOOKBACK).select(F.to_json(F.struct("id", "serial")).alias("one"))
+    arrays = events.groupBy(F.pmod(F.xxhash64("one"), F.lit(16))).agg(F.array_join(F.collect_list("one"), ",").alias("all"))
+    arrays.select(F.concat(F.lit("["), "all", F.lit("]"))).write.option("maxRecordsPerFile", 1).text(path)
+    return read_event_file(spark, path)
+
+
 @query
 def incremental_poll(spark, sf_dir):
     root = scratch(spark, "poll")
@@ -343,7 +353,7 @@ def select_distinct(spark, sf_dir):
 
 @query
 def run_metrics(spark, sf_dir):
-    raw = P.raw_events(tables(spark, sf_dir), AS_OF, LOOKBACK)
+    raw = materialize(P.raw_events(tables(spark, sf_dir), AS_OF, LOOKBACK))
     fetched = MG.latest_per_id(MG.drop_null_ids(raw))
     return MG.run_metrics(raw, fetched, MG.exclude_processed(fetched, roles.ledger(spark, sf_dir)))
 
@@ -439,6 +449,12 @@ def detect_tpdi(spark, sf_dir):
 
 @query
 def detect_bvnr(spark, sf_dir):
+    extract = drift_table(spark, sf_dir, "billing_extract")
+    return R.detect_bvnr(roles.pod(spark, sf_dir), roles.billing(spark, sf_dir), extract, AS_OF)
+
+
+@query
+def detect_bvnr_clean_keys(spark, sf_dir):
     extract = drift_table(spark, sf_dir, "billing_extract").where("booking_id IS NOT NULL")
     return R.detect_bvnr(roles.pod(spark, sf_dir), roles.billing(spark, sf_dir), extract, AS_OF)
 
@@ -495,7 +511,7 @@ MODEL = ["booking_id", "so_ref", "doc_refs", "paid_refs", "ar_refs", "ptf_no"]
 
 
 def _stored(spark, sf_dir, rows: DataFrame) -> ReadModel:
-    model = ReadModel(spark, scratch(spark, "model"), "booking_id", rows.schema, buckets=8)
+    model = ReadModel(spark, scratch(spark, "model"), "booking_id", rows.schema)
     model.create(rows)
     return model
 
@@ -525,6 +541,46 @@ def upsert_by_key(spark, sf_dir):
     return upsert_rows(target, _rebuild(spark, sf_dir)(ids), ids, "booking_id")
 
 
+@query
+def refresh_converges(spark, sf_dir):
+    """Fetch, process, fetch: what is left are ids that failed, here bookings ending in 5.
+
+    The second run takes up what the new references of the first one's rows lead to.
+    """
+    model = _stored(spark, sf_dir, roles.read_model(spark, sf_dir).select(*MODEL))
+    t, root = tables(spark, sf_dir).replaced(read_model=model.read), scratch(spark, "converge")
+    refresh = lambda ids: RF.refresh_read_model(ids, model, RF.model_rows(t), whole=~F.col("booking_id").endswith("5"))
+    for _ in range(2):
+        events = materialize(MG.drop_null_ids(P.raw_events(t, AS_OF, LOOKBACK)))
+        RF.process_events(MG.with_position(events), refresh, root, AS_OF, record_all=True)
+    left = P.fetch_events(t, AS_OF, ledger_for(spark, root, AS_OF), lookback_days=LOOKBACK)
+    return left.select("id", "serial")
+
+
+@query
+def model_rows(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return RF.model_rows(t)(t["pod"].select("booking_id"))
+
+
+@query
+def refresh_with_scrub(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    model = _stored(spark, sf_dir, roles.read_model(spark, sf_dir).select(*MODEL))
+    staging = _stored(spark, sf_dir, roles.rates_staging(spark, sf_dir))
+    RF.refresh_read_model(t["pod"].where("status_detail = 'Verified'").select("booking_id"), model, RF.model_rows(t), staging)
+    return staging.read()
+
+
+@query
+def process_partial_failure(spark, sf_dir):
+    """Of bookings ending in 3, building one raises; all others are refreshed."""
+    model = _stored(spark, sf_dir, roles.read_model(spark, sf_dir).select(*MODEL))
+    bad = F.when(F.col("booking_id") == "13", F.raise_error(F.lit("bad row")).cast("string")).otherwise(F.col("ptf_no"))
+    build = lambda ids: _rebuild(spark, sf_dir)(ids).withColumn("ptf_no", bad)
+    return RF.refresh_read_model(tables(spark, sf_dir)["pod"].where("booking_id LIKE '%3'").select("booking_id"), model, build)
+
+
 @query
 def process_events(spark, sf_dir):
     """Two runs over the same events: the first fails for bookings ending in 5, the second does those only."""
@@ -633,6 +689,17 @@ def lock_holds(spark, sf_dir):
     return _hold_rows(holds(spark, sf_dir))
 
 
+@query
+def lock_ids(spark, sf_dir):
+    held = L.with_lock_id(holds(spark, sf_dir)).where("granted_at IS NOT NULL")
+    return held.select("grp", "row_id", "client", at_id("granted_at", "granted_id"), "lock_id")
+
+
+@query
+def release_payloads(spark, sf_dir):
+    return payload(L.release_notices(holds(spark, sf_dir))).select("event_id", "recipient", "payload")
+
+
 @query
 def queue_position(spark, sf_dir):
     return holds(spark, sf_dir).select("grp", "row_id", "client", at_id("enter", "enter_id"), "queue_position")
@@ -692,7 +759,7 @@ def _streamed(spark, sf_dir) -> LockStream:
         log = roles.message_log(spark, sf_dir)
         bounds = log.agg(F.min("event_id"), F.max("event_id")).first()
         width = (bounds[1] - bounds[0]) // 3 + 1
-        stream = LockStream(spark, f"{root}/out")
+        stream = LockStream(spark, f"{root}/out", delay="0 seconds")
         for low in range(bounds[0], bounds[1] + 1, width):
             log.where(F.col("event_id").between(low, low + width - 1)).write.mode("append").parquet(f"{root}/in")
             source = spark.readStream.schema(log.schema).parquet(f"{root}/in")

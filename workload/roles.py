@@ -231,6 +231,12 @@ class Tables(Mapping):
         self._makers |= {f"{role}_head": heads for role in DOC_ROLES} | {f"{role}_line": lines for role in DOC_ROLES}
         self._source = (spark, sf_dir)
 
+    def replaced(self, **makers) -> Tables:
+        """These tables, but some made by functions of their own."""
+        other = Tables(*self._source)
+        other._makers = self._makers | {name: lambda *_, make=make: make() for name, make in makers.items()}
+        return other
+
     def __getitem__(self, name: str) -> DataFrame:
         return self._makers[name](*self._source)
 
