@@ -10,10 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import line_dedup, near_dedup, packing, quality, secret_scan
-from tidemark.llm.common import saved, table
-
-#: Ids of dropped documents up to which they are broadcast, at 8 bytes each.
-BROADCAST_IDS = 500_000
+from tidemark.llm.common import by_ids, saved, table
 
 
 def _rest(docs: DataFrame) -> list[str]:
@@ -46,9 +43,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the least id. Documents without an id or without words stay."""
     dropped = saved(near_dedup.near_duplicates(docs, words=5, percent=80).filter("NOT kept").select("doc_id").distinct())
-    if dropped.count() <= BROADCAST_IDS:
-        dropped = F.broadcast(dropped)
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return by_ids(docs, dropped, "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_WHITE, SPACE, ONE_LEFT, TWO_LEFT, DONE = r
 #: Pieces of more bytes are merged by a heap; shorter ones by columns of these widths.
 WIDTHS = (4, 8, 16, 32, 64)
 #: Distinct pieces that a worker keeps; beyond, it starts anew, which costs time only.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 NEVER = np.int32(2**31 - 1)
 
 
@@ -181,7 +181,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse."""
-    up, down = _powers(1 << max(22, (n - 1).bit_length()))
+    up, down = _powers(1 << max(21, (n - 1).bit_length()))
     return up[:n], down[:n]
 
 

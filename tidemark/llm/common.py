@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.session import materialize
 
 #: Bytes of text that a Python task works on at a time; a longer text is a piece of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 3 << 19
 
 
 def share_code(spark: SparkSession) -> None:
@@ -44,6 +45,23 @@ def texts_only(docs: DataFrame, *columns: str, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *columns)
 
 
+#: Ids that are broadcast at most, at 8 bytes each.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """``docs`` whose ``doc_id`` is in the table ``ids`` (or, ``left_anti``, is not); texts are shuffled only if the ids are too many to send out."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+
+
+def release() -> None:
+    """Give back what a finished task has freed: its worker lives on, and other stages need the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``limit`` bytes in each, or adds up to it if it is a number."""
     for batch in batches:
@@ -59,3 +77,4 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(start + 1, int(sizes.searchsorted(before + limit)))
             yield batch.slice(start, end - start)
             start = end
+    release()

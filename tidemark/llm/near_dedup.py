@@ -22,7 +22,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import Pieces
-from tidemark.llm.common import chunks, drop, saved, table, texts_only
+from tidemark.llm.common import by_ids, chunks, drop, saved, table, texts_only
 from tidemark.llm.components import connected_components
 from tidemark.llm.line_dedup import mixed
 
@@ -142,8 +142,8 @@ def true_links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: in
     side = lambda c, of: sketches.select(F.col("rep").alias(c), F.col(of).alias(f"{c}_{of}"))
     limit = most_differing_bits(percent, bands_for(percent) * ROWS)
     near = saved(pairs.join(side("x", "sketch"), "x").join(side("y", "sketch"), "y").filter(_differing() <= limit).select("x", "y"))
-    asked = near.select(F.col("x").alias("doc_id")).unionByName(near.select(F.col("y").alias("doc_id"))).distinct()
-    sets = saved(full_sets(docs.join(asked, "doc_id", "left_semi"), words))
+    asked = saved(near.select(F.col("x").alias("doc_id")).unionByName(near.select(F.col("y").alias("doc_id"))).distinct())
+    sets = saved(full_sets(by_ids(docs, asked), words))
     of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("hashes").alias(f"{c}_set"))
     common = F.size(F.array_intersect("x_set", "y_set"))
     enough = 100 * common >= percent * (F.size("x_set") + F.size("y_set") - common)
@@ -231,8 +231,8 @@ def other_links(members: DataFrame, components: DataFrame, classes: DataFrame, d
     sketched = company.join(classes.select("rep", "sketch"), "rep")
     near = in_blocks(sketched, "sketch", F.lit(1), BLOCK_ROWS).applyInArrow(close_rows(limit), "hub long, rep long")
     company = saved(company.join(near.distinct(), ["hub", "rep"]))
-    asked = company.select(F.col("rep").alias("doc_id")).distinct()
-    sets = saved(full_sets(docs.join(asked, "doc_id", "left_semi"), words).withColumnRenamed("doc_id", "rep"))
+    asked = saved(company.select(F.col("rep").alias("doc_id")).distinct())
+    sets = saved(full_sets(by_ids(docs, asked), words).withColumnRenamed("doc_id", "rep"))
     # A strange member's block holds its own set once more for each block it meets; sizes bound both.
     with_sets = company.join(sets, "rep").withColumn("n", F.size("hashes").cast("long"))
     links = saved(in_blocks(with_sets, "hashes", F.col("n"), BLOCK_HASHES).applyInArrow(linked_rows(percent), "x long, y long"))
