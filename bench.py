@@ -25,6 +25,9 @@ HEADLINE = [
     "detect_tpdi",
     "lock_holds",
     "update_recipients",
+    "refresh_read_model",
+    "process_events",
+    "refresh_stream",
 ]
 
 
@@ -40,9 +43,11 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    from workload import roles
     from workload.queries import QUERIES
 
-    seconds = {}
+    roles.read_model(spark, sf_dir)  # written once, as the engine keeps it
+    seconds, first = {}, {}
     for name in HEADLINE:
         runs = []
         # The first run compiles; a poll repeats the same plans.
@@ -50,13 +55,14 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
-        seconds[name] = round(min(runs), 3)
+        seconds[name], first[name] = round(min(runs), 3), round(runs[0], 3)
         print(name, [round(r, 2) for r in runs], file=sys.stderr, flush=True)
     result = {
         "metric": "total_headline_seconds",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "first_run": first,
         "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }
     spark.stop()
