@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, line_dedup, secret_scan
+from tidemark.llm import code_books, exact_dedup, line_dedup, merkle, secret_scan, warc
 from tidemark.llm.byte_codec import op2_byte_bpe
 from tidemark.llm.near_dedup import op1_near_dedup
 from tidemark.llm.packing import op3_best_fit_packing
@@ -24,6 +24,16 @@ QUERIES = {
         op8_token_files,
         op9_token_counts,
         op10_vector_search,
+        warc.op11_warc,
+        code_books.op12_vector_codes,
+        merkle.op13_merkle,
     )
 }
-ORACLES = {"op4_exact_dedup": exact_dedup.SQL, "op5_secret_scan": secret_scan.SQL, "op6_line_dedup": line_dedup.SQL}
+ORACLES = {
+    "op4_exact_dedup": exact_dedup.SQL,
+    "op5_secret_scan": secret_scan.SQL,
+    "op6_line_dedup": line_dedup.SQL,
+    "op11_warc": warc.SQL,
+    "op12_vector_codes": code_books.sql(),
+    "op13_merkle": merkle.SQL,
+}
