@@ -154,6 +154,12 @@ def test_secrets(frame):
     assert secret_scan.scan(docs(frame, [])).count() == 0
 
 
+def test_long_texts_do_not_end_the_matcher(frame):
+    long = [f"-----BEGIN {'RSA ' * 100_000}PRIVATE KEY-----", f"password={'a/' * 500_000}", f"AKIA{'A0' * 500_000}", "0f" * 500_000, f"ghp_{'x' * 1_000_000}", f"xoxb-{'1-' * 500_000}", f"eyJ{'a' * 400_000}.eyJ{'b' * 400_000}.{'c' * 200_000}"]
+    got = secret_scan.scan(docs(frame, list(enumerate(long))).repartition(4)).collect()
+    assert {(r.doc_id, s.kind, s.start, s.end) for r in got for s in r.spans if s.end - s.start == len(long[r.doc_id])} == {(k, kind, 0, len(long[k])) for k, kind in enumerate(["private_key", "assign", "access", "hex", "forge", "chat", "web_token"])}
+
+
 def test_secret_candidates_by_shuffled_join(frame, monkeypatch):
     monkeypatch.setattr(secret_scan, "BROADCAST_ROWS", -1)
     test_secrets(frame)

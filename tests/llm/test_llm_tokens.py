@@ -1,7 +1,10 @@
 """Encoders against the libraries whose ids they give, wavelet matrices and packing against plain versions."""
 
+import hashlib
 import random
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +12,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, byte_codec, packing, token_counts, token_files
+from tidemark.llm import bpe, byte_codec, near_dedup, packing, token_counts, token_files
+from tidemark.llm.queries import QUERIES
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 ALPHABET = ["'", "s", "re", "ll", "'t", " ", "\n", "  ", "a", "B", "1", "²", "é", "　", "!", "#", "\x85", "\x1c", "中", "😀", "é", "ΑΣ", "İ", "Å", "ﬁ", "_", "\t", "'ve", "'l"]
@@ -49,6 +53,53 @@ def test_word_ids_are_the_librarys(words):
     assert cut(*bpe.word_bpe(WORDS).encode(texts)) == [words.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def thue_morse(bits):
+    """Two words of equal length on which every polynomial hash modulo a power of two agrees."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_pieces_are_told_apart_by_their_bytes(tik, words):
+    pair = list(thue_morse(11))
+    assert cut(*bpe.byte_bpe(BYTES).encode(pair)) == [tik.encode_ordinary(t) for t in pair]
+    assert cut(*bpe.word_bpe(WORDS).encode(pair)) == [words.encode(t, add_special_tokens=False).ids for t in pair]
+    distinct, which = bpe.Pieces.between_blanks([f" {pair[0]} {pair[1]}\n{pair[0]} ".encode(), b"", b" \t", b"x"]).distinct()
+    assert distinct == [pair[0].encode(), pair[1].encode(), b"x"] and which.tolist() == [0, 1, 0, 2]
+    one, two = near_dedup.shingle_sets([t.encode() for t in pair], 5)
+    assert one.tolist() != two.tolist()
+
+
+def test_all_code_points_have_the_librarys_ids(words):
+    settled = [c for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    for form in ("a%sb", "a%s1 %s\u0301", "\u0301%s\u0323"):
+        texts = [form.replace("%s", chr(c)) for c in settled + [0x378, 0x1C89, 0x10D50]]
+        expected = [e.ids for e in words.encode_batch_fast(texts, add_special_tokens=False)]
+        got = cut(*bpe.word_bpe(WORDS).encode(texts))
+        assert [(hex(ord(t[1])), a, b) for t, a, b in zip(texts, got, expected, strict=True) if a != b] == []
+
+
+def test_queries_give_what_the_libraries_give(spark, frame, tik, words, tmp_path):
+    frame([(r[0], r[1]) for r in rows()] + [(10 + k, t) for k, t in enumerate(fuzz(60))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    of = lambda data: hashlib.sha256(data).hexdigest()
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    by_bytes = Counter((d, len(ids := tik.encode_ordinary(t)), of(",".join(map(str, ids)).encode()), of(t.encode())) for d, t in docs)
+    assert Counter(map(tuple, QUERIES["op2_byte_bpe"](spark, str(tmp_path)).collect())) == by_bytes
+    start, by_words, pieces = 0, [], []
+    for d, t in docs:
+        ids = words.encode(t, add_special_tokens=False).ids
+        by_words.append((d, start, len(ids) + 1, crc(ids + [2])))
+        start += len(ids) + 1
+        ids.append(0)
+        pieces += [(d, k, a, len(ids[a : a + 2048]), crc(ids[a : a + 2048])) for k, a in enumerate(range(0, len(ids), 2048))]
+    assert sorted(map(tuple, QUERIES["op8_token_files"](spark, str(tmp_path)).collect()), key=lambda r: r[1]) == by_words
+    packed = QUERIES["op3_best_fit_packing"](spark, str(tmp_path)).collect()
+    assert Counter(tuple(r)[:5] for r in packed) == Counter(pieces)
+    assert check_packed(packed, 2048) == -(-sum(r.length for r in packed) // 2048)
+
+
 def test_columns_and_heap_merge_alike():
     merger = bpe.byte_bpe(BYTES).cache.merger
     found = [t.encode() for t in fuzz() if t and len(t.encode()) <= 64]

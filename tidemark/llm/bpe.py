@@ -14,6 +14,7 @@ import unicodedata
 from functools import cached_property, lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Class codes of code points.
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
@@ -150,39 +151,19 @@ class Pieces:
         self.counts = np.diff(np.searchsorted(self.starts, np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])))
         return self
 
-    def keys(self) -> np.ndarray:
-        """A 64-bit hash of each piece's bytes and length."""
-        data = np.frombuffer(self.data, np.uint8)
-        terms = BYTE_CODES[data]
-        terms *= powers(len(data))[0]
-        sums = np.concatenate([np.zeros(1, np.uint64), terms.cumsum(dtype=np.uint64)])
-        return (sums[self.ends] - sums[self.starts]) * powers(len(data))[1][self.starts] + (self.ends - self.starts).astype(np.uint64)
-
     def distinct(self) -> tuple[list[bytes], np.ndarray]:
-        """Distinct pieces, and which of them each piece is; told apart by 64 bits of a polynomial hash and the length."""
-        _, index, inverse = np.unique(self.keys(), return_index=True, return_inverse=True)
-        return [self.data[a:b] for a, b in zip(self.starts[index].tolist(), self.ends[index].tolist(), strict=True)], inverse
-
-
-#: Of the polynomial hash: an odd base, its inverse modulo 2**64, and a random code of each byte.
-BASE = 0x5851F42D4C957F2D
-BYTE_CODES = np.random.default_rng(1).integers(1 << 63, 1 << 64, 256, np.uint64, endpoint=False)
-
-
-@lru_cache(1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    made = []
-    for base in (BASE, pow(BASE, -1, 1 << 64)):
-        out = np.full(size, base, np.uint64)
-        out[0] = 1
-        made.append(np.multiply.accumulate(out))
-    return made[0], made[1]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse."""
-    up, down = _powers(1 << max(21, (n - 1).bit_length()))
-    return up[:n], down[:n]
+        """Distinct pieces, and which of them each piece is; told apart by their bytes."""
+        lengths = self.ends - self.starts
+        begins = np.concatenate([[0], lengths.cumsum()])
+        data = np.frombuffer(self.data, np.uint8)
+        if begins[-1] < len(data):  # pieces don't overlap: what lies in none goes
+            edges = np.zeros(len(data) + 1, np.int8)
+            edges[self.starts] += 1
+            edges[self.ends] -= 1
+            data = data[edges[:-1].cumsum(dtype=np.int8).view(bool)]
+        column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(begins), pa.py_buffer(np.ascontiguousarray(data))])
+        encoded = column.dictionary_encode()
+        return encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
 
 
 class PairTable:
@@ -403,6 +384,15 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+@lru_cache(1)
+def unsettled() -> np.ndarray:
+    """Code points on which versions of Unicode may differ: unassigned ones, and combining marks but for the oldest block."""
+    points = map(chr, range(0x110000))
+    table = np.fromiter((unicodedata.category(c) == "Cn" or unicodedata.combining(c) > 0 for c in points), bool, 0x110000)
+    table[0x300:0x370] = False
+    return table
+
+
 class WordBPE:
     """Encodes as the tokenizers library does by a vocabulary with word ends: NFC, white space to a space, lower case."""
 
@@ -426,7 +416,7 @@ class WordBPE:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end, and each text's number of ids."""
-        special = {k: self._by_library(t) for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        special = {k: self._by_library(t) for k, t in enumerate(texts) if any(s in t for s in self.special) or self._unsettled(t)}
         ids, counts = self.cache.encode(Pieces(["" if k in special else self.normal(t) for k, t in enumerate(texts)], word_ends=True))
         if special:
             ends = np.concatenate([[0], counts.cumsum()])
@@ -434,8 +424,12 @@ class WordBPE:
             return np.concatenate(parts).astype(np.int32), np.array([len(p) for p in parts])
         return ids, counts
 
+    @staticmethod
+    def _unsettled(text: str) -> bool:
+        return not text.isascii() and bool(unsettled()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any())
+
     def _by_library(self, text: str) -> np.ndarray:
-        """A text that spells a special token is rare and left to the library, which gives such a token's own id."""
+        """A text that spells a special token, or holds an unsettled code point, is rare and left to the library."""
         if self.library is None:
             from tokenizers import Tokenizer
 

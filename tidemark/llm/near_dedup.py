@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.bpe import Pieces
@@ -57,7 +58,9 @@ def odd_numbers(n: int) -> np.ndarray:
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of each text's distinct shingles, case of A-Z aside; fewer words are one shingle; none, none."""
     found = Pieces.between_blanks([t.lower() for t in texts])
-    hashes, begins = mixed(found.keys(), 0), np.concatenate([[0], found.counts.cumsum()])
+    distinct, which = found.distinct()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[which]
+    begins = np.concatenate([[0], found.counts.cumsum()])
     factors = odd_numbers(words)
     whole = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
     for k, factor in enumerate(factors):
