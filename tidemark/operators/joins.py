@@ -36,13 +36,18 @@ def _whole(csv: Column) -> Column:
     return F.array(F.rtrim(csv))
 
 
+def _carried(df: DataFrame, *columns: str) -> list[str]:
+    """Those of the columns that ``df`` has; ``weight`` goes along wherever changes are joined."""
+    return [c for c in (*columns, "weight") if c in df.columns]
+
+
 def reference_keys(rows: DataFrame, csv: str = "pv_no", row_id: str = "booking_id") -> DataFrame:
     """(id, tag, key) of the row side of :func:`multivalue_join`."""
     rows = rows.where(F.col(row_id).isNotNull()).withColumnRenamed(row_id, "id")
     cell = F.col(csv)
     return _explode_keys(
         rows,
-        ["id"],
+        _carried(rows, "id"),
         _tagged("whole", _whole(cell)),
         _tagged("row_token", tokens(cell)),
         _tagged("head_token", _whole(cell)),
@@ -50,19 +55,23 @@ def reference_keys(rows: DataFrame, csv: str = "pv_no", row_id: str = "booking_i
     )
 
 
-def head_keys(head: DataFrame, line: DataFrame, csv: str = "pv_no") -> DataFrame:
-    """(serial, tag, key) of the head side of :func:`multivalue_join`; heads without lines still have keys."""
+def cell_keys(head: DataFrame, csv: str = "pv_no") -> DataFrame:
+    """(serial, tag, key) of what heads' own cells say."""
     cell = F.col(csv)
-    keep = [c for c in ("serial", "stamp") if c in head.columns]
-    by_cell = _explode_keys(
+    return _explode_keys(
         head,
-        keep,
+        _carried(head, "serial", "stamp"),
         _tagged("whole", _whole(cell)),
         _tagged("row_token", _whole(cell)),
         _tagged("head_token", tokens(cell)),
     )
+
+
+def head_keys(head: DataFrame, line: DataFrame, csv: str = "pv_no") -> DataFrame:
+    """(serial, tag, key) of the head side of :func:`multivalue_join`; heads without lines still have keys."""
+    keep = _carried(head, "serial", "stamp")
     by_item = header_lines(head, line).select(*keep, F.lit("item").alias("tag"), F.col("item").alias("key"))
-    return by_cell.unionByName(by_item)
+    return cell_keys(head, csv).unionByName(by_item)
 
 
 def keyed_join(events: DataFrame, rows: DataFrame, keys: list[str], latest: bool = False) -> DataFrame:
@@ -103,7 +112,7 @@ def csv_refs(rows: DataFrame, columns: list[str], row_id: str = "booking_id") ->
     numbers = F.transform(cells, lambda t: t.try_cast("bigint"))
     return (
         rows.where(~is_blank(F.col(row_id)))
-        .select(F.col(row_id).alias("id"), F.explode(F.array_distinct(numbers)).alias("doc_num"))
+        .select(F.col(row_id).alias("id"), *_carried(rows), F.explode(F.array_distinct(numbers)).alias("doc_num"))
         .where(F.col("doc_num").isNotNull())
     )
 

@@ -94,6 +94,23 @@ def _listed_and_live(rows: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
+def stale_lists(rows: DataFrame, counts: DataFrame, legacy: bool = False, count_distinct: bool = False) -> DataFrame:
+    """(booking_id, listed) of the bookings in ``rows`` (booking_id, ar_refs) whose list is stale by ``counts``."""
+    stats = counts.groupBy(F.col("item").alias("booking_id")).agg(
+        F.sum("n_lines").alias("n_lines"), F.count("*").alias("n_docs")
+    )
+    as_booking = lambda df, name: df.select(F.col("item").alias("booking_id"), F.col("doc_list").alias(name))
+    if legacy:
+        rows = rows.join(as_booking(doc_list(counts, distinct=True), "_text"), "booking_id", "left")
+        differs = F.rtrim("_text") != F.rtrim("ar_refs")
+    else:
+        rows = _listed_and_live(rows, counts)
+        differs = (F.col("n_listed") != F.col("n_matched")) | (F.col("n_matched") != F.col("n_docs"))
+    fewer = csv_size(F.col("ar_refs")) < (F.col("n_docs") if count_distinct else F.col("n_lines"))
+    stale = rows.join(stats, "booking_id").where(is_blank(F.col("ar_refs")) | (fewer & differs))
+    return stale.select("booking_id").distinct().join(as_booking(doc_list(counts), "listed"), "booking_id")
+
+
 def detect_arnr(
     tables: Tables,
     as_of: Clock,
@@ -108,22 +125,10 @@ def detect_arnr(
     ``count_distinct`` documents are counted rather than invoice lines.
     """
     counts = live_doc_counts(tables["receivable_head"], tables["receivable_line"])
-    stats = counts.groupBy(F.col("item").alias("booking_id")).agg(
-        F.sum("n_lines").alias("n_lines"), F.count("*").alias("n_docs")
-    )
     rows = tables["read_model"].select("booking_id", "ar_refs").distinct()
-    as_booking = lambda df, name: df.select(F.col("item").alias("booking_id"), F.col("doc_list").alias(name))
-    if legacy:
-        rows = rows.join(as_booking(doc_list(counts, distinct=True), "_text"), "booking_id", "left")
-        differs = F.rtrim("_text") != F.rtrim("ar_refs")
-    else:
-        rows = _listed_and_live(rows, counts)
-        differs = (F.col("n_listed") != F.col("n_matched")) | (F.col("n_matched") != F.col("n_docs"))
-    fewer = csv_size(F.col("ar_refs")) < (F.col("n_docs") if count_distinct else F.col("n_lines"))
-    stale = rows.join(stats, "booking_id").where(is_blank(F.col("ar_refs")) | (fewer & differs))
+    stale = stale_lists(rows, counts, legacy, count_distinct)
     serial = concat_text("AR", F.col("listed"), "-NR-", as_clock(as_of).stamp())
-    named = stale.select("booking_id").distinct().join(as_booking(doc_list(counts), "listed"), "booking_id")
-    return named.select(F.col("booking_id").alias("id"), serial.alias("serial"))
+    return stale.select(F.col("booking_id").alias("id"), serial.alias("serial"))
 
 
 def detect_bn(tables: Tables, as_of: Clock, lookback_days: int = 0, latest: bool = False) -> DataFrame:

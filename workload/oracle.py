@@ -427,6 +427,7 @@ BODIES = {
     "detect_bvnr_clean_keys": _verified("B-TBVNR", _BILLABLE, "billing", "billing_extract"),
     "detect_tvnr": _verified("T-TBVNR", "status_detail LIKE '%Verified%'", "tp", "tp_extract"),
     "fetch_events": "SELECT id, serial, detector, stamp FROM newest",
+    "refresh_on_change": "SELECT id, serial, detector, stamp FROM newest",
     "fetch_dedupe_then_exclude": f"SELECT id, serial, detector, stamp FROM newest q WHERE {_PROCESSED}",
     "fetch_exclude_then_dedupe": f"""SELECT id, serial, detector, stamp FROM stamped q WHERE {_PROCESSED}
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY stamp DESC, rank, serial) = 1""",
