@@ -12,6 +12,7 @@ from tidemark.plans.lock_history import lock_history, read_requests
 from tidemark.schemas import GROUPS, MESSAGE_LOG
 from tidemark.session import materialize
 from tidemark.sources.messages import dispatch, parse_messages, payload, to_requests
+from tidemark.streaming.keyed_locks import KeyedLocks
 from tidemark.streaming.lock_stream import LockStream
 
 START = datetime(2024, 1, 1)
@@ -131,6 +132,43 @@ def test_stream_is_the_batch(spark, frame, tmp_path):
     assert again == stint_rows(opened)
 
 
+def test_keyed_state_is_the_batch(spark, frame, tmp_path):
+    log = random_log(5, 240)
+    rng = random.Random(9)
+    stints, out = replay(log)
+    locks, source = KeyedLocks(spark, str(tmp_path / "out")), str(tmp_path / "in")
+    for low, high in ((0, 170), (170, 240)):
+        frame(rng.sample([r[:3] for r in log[low:high]], high - low), MESSAGE_LOG).write.mode("append").parquet(source)
+        locks.run_available(spark.readStream.schema(MESSAGE_LOG).parquet(source))
+    assert stint_rows(locks.holds()) == expected_stints(stints)
+    positions = {(r.grp, r.row_id, r.client, r.enter.event_id): r.queue_position for r in locks.holds().collect()}
+    assert positions == {(*s["row"], s["client"], s["enter"]): s["position"] for s in stints}
+    assert outbox_rows(locks.outbox()) == sorted(out, key=str)
+
+
+def test_keyed_state_follows_the_batch(spark, frame, tmp_path):
+    ask = lambda i, s, c=None: (i, None if s is None else START + timedelta(seconds=s), message("MESSAGE", "REGISTRATION", c or f"c{i}", group="pod", ids=["1"]))
+    leave = lambda i, s, c: (i, START + timedelta(seconds=s), message("MESSAGE", "CLEAN_UP", c))
+    locks, source, updated = KeyedLocks(spark, str(tmp_path / "out")), str(tmp_path / "in"), []
+    batches = [
+        [ask(i, i) for i in range(1, 301)] + [(900, START, "{"), ask(901, None)],
+        # Too late for the row; a repeated registration; a new one; a late clean-up frees the lock all the same.
+        [ask(902, 5, "x"), ask(903, 400, "c7"), ask(904, 401, "y"), leave(905, 100, "c1"), leave(906, 402, "c2")],
+    ]
+    for batch in batches:
+        frame(batch, MESSAGE_LOG).write.mode("append").parquet(source)
+        for query in locks.start_steps(spark.readStream.schema(MESSAGE_LOG).parquet(source), "available_now"):
+            query.awaitTermination()
+        query = locks.start_facts("available_now")
+        query.awaitTermination()
+        updated.append(sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]))
+    assert updated[0] >= 600 and updated[1] < 30, "a queue of 300 is not written again"
+    assert {(r.event_id, r.reason) for r in locks.rejects().collect()} == {(900, "malformed"), (901, "undated"), (902, "late")}
+    held = {r.client: (r.enter.event_id, r.leave and r.leave.event_id, r.granted_at and r.granted_at.event_id, r.queue_position) for r in locks.holds().collect()}
+    assert held["c1"] == (1, 905, 1, 0) and held["c7"] == (7, None, None, 6) and held["y"] == (904, None, None, 299)
+    assert held["c2"][:2] == (2, 906) and held["c2"][2] is not None and held["c3"][2] is not None and "x" not in held
+
+
 def test_late_and_pending_requests(spark, frame, tmp_path):
     stream = LockStream(spark, str(tmp_path), delay="10 seconds", parts=2)
     ask = lambda i, s: (i, START + timedelta(seconds=s), message("MESSAGE", "REGISTRATION", f"c{i}", group="pod", ids=["1"]))

@@ -213,7 +213,11 @@ def unlock_requests(rows: DataFrame) -> DataFrame:
 
 
 def update_notices(requests: DataFrame, holds: DataFrame) -> DataFrame:
-    sent = update_recipients(requests, waits(holds))
+    return update_outbox(update_recipients(requests, waits(holds)))
+
+
+def update_outbox(sent: DataFrame) -> DataFrame:
+    """The outbox rows of update broadcasts: of ``at``, ``session_id``, ``sender``, ``recipient``, ``grp``, ``ids``."""
     return _outbox(
         sent, kind=F.lit("BROADCAST"), recipient=F.col("recipient"), session_id=F.col("session_id"),
         event=F.lit("UPDATE"), grp=F.col("grp"), ids=F.col("ids"), sender=F.col("sender"),

@@ -479,6 +479,9 @@ BODIES = {
         CASE WHEN holder IS NOT NULL THEN client END AS requestor FROM held WHERE event_type = 'click'""",
     "update_recipients": "SELECT event_id, sender, recipient, grp FROM told",
     "outbox": "SELECT event_id, kind, recipient, session_id, event, status, grp, ids FROM sent",
+    "keyed_lock_holds": f"SELECT {_HOLD} FROM holds",
+    "keyed_lock_outbox": "SELECT event_id, kind, recipient, session_id, event, status, grp, ids FROM sent",
+    "keyed_lock_rejects": "SELECT event_id, 'malformed' AS reason FROM junk WHERE event_id % 10 NOT IN (7, 8)",
     "lock_stream_holds": f"SELECT {_HOLD} FROM holds",
     "lock_stream_outbox": "SELECT event_id, kind, recipient, session_id, event, status, grp, ids FROM sent",
     "lock_stream_rejects": "SELECT event_id, 'malformed' AS reason FROM junk WHERE event_id % 10 NOT IN (7, 8)",

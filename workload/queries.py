@@ -21,6 +21,7 @@ from tidemark.sources.messages import dispatch, parse_messages, payload, to_requ
 from tidemark.sources.read_model import ReadModel, upsert_rows
 from tidemark.sources.tables import TableConfig, read_table
 from tidemark.streaming import polling
+from tidemark.streaming.keyed_locks import KeyedLocks
 from tidemark.streaming.lock_stream import LockStream
 from tidemark.streaming.polling import refresh_on_arrival, run_incremental
 from workload import roles
@@ -790,6 +791,33 @@ def _streamed(spark, sf_dir) -> LockStream:
     return _STREAMS[key]
 
 
+def _keyed(spark, sf_dir) -> KeyedLocks:
+    """The message log landing in two slices in time order, each worked off by the keyed streams as it lands."""
+    root = scratch(spark, "keyed")
+    log = roles.message_log(spark, sf_dir)
+    middle = log.agg(F.avg("event_id").cast("bigint")).first()[0]
+    locks = KeyedLocks(spark, f"{root}/out")
+    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        log.where(part).write.mode("append").parquet(f"{root}/in")
+        locks.run_available(spark.readStream.schema(log.schema).parquet(f"{root}/in"))
+    return locks
+
+
+@query
+def keyed_lock_holds(spark, sf_dir):
+    return _hold_rows(_keyed(spark, sf_dir).holds())
+
+
+@query
+def keyed_lock_outbox(spark, sf_dir):
+    return _keyed(spark, sf_dir).outbox().select(*_OUT, F.array_join("ids", ",").alias("ids"))
+
+
+@query
+def keyed_lock_rejects(spark, sf_dir):
+    return _keyed(spark, sf_dir).rejects().select("event_id", "reason")
+
+
 @query
 def lock_stream_holds(spark, sf_dir):
     stream = _streamed(spark, sf_dir)
