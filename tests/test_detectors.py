@@ -123,6 +123,16 @@ def test_fetch_keeps_the_newest_and_counts(tables):
     assert (counters.found, counters.null_ids, counters.fetched, counters.to_process) == (raw.count(), 1, len(ids), 0)
 
 
+def test_counters_are_observed_on_the_way(spark, tables):
+    raw = P.raw_events(tables, TODAY)
+    every = latest_per_id(drop_null_ids(raw))
+    ledger = every.limit(2).select("id", "serial")
+    ledger = spark.createDataFrame(ledger.union(ledger).collect(), "id string, serial string")
+    left, counters = P.counted_fetch(tables, TODAY, ledger)
+    assert counters.first() == run_metrics(raw, every, exclude_processed(every, ledger)).first()
+    assert sorted(left.collect()) == sorted(P.fetch_events(tables, TODAY, ledger).collect())
+
+
 def test_ledger_modes_differ(spark, tables):
     newest = {r.id: r.serial for r in P.fetch_events(tables, TODAY).collect()}
     ledger = spark.createDataFrame([("b3", newest["b3"])], "id string, serial string")

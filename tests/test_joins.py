@@ -70,7 +70,11 @@ def test_contains_join_is_exact(frame):
     needles = [word(n) for n in (1, 2, 5, 9, 31, 32, 33, 40)] * 2 + ["", " ", None]
     long = cells[3].replace(" ", "").replace(",", "")
     needles += [long, f" {long[1:]} "]
-    got = J.contains_join(frame([(c,) for c in cells], "cell string"), "cell", frame([(n,) for n in needles], "n string"), "n")
+    cells += ["x😀y", "😀", "é, 😀😁z", "\U0001f601"]
+    needles += ["😀y", "é😀😁", "\U0001f602"]
+    as_frames = frame([(c,) for c in cells], "cell string"), "cell", frame([(n,) for n in needles], "n string"), "n"
+    got = J.contains_join(*as_frames)
+    assert sorted(r.cell for r in J.contains_join(*as_frames, gram=2).collect()) == sorted(r.cell for r in got.collect())
     hits = {
         c for c in cells if c is not None
         if any(n and n.strip(" ") and n.strip(" ") in c.replace(" ", "").replace(",", "") for n in needles)
@@ -78,6 +82,17 @@ def test_contains_join_is_exact(frame):
     assert sorted(r.cell for r in got.collect()) == sorted(hits)
 
 
+def test_long_cells_and_needles_with_one_beginning(frame):
+    rng, start = random.Random(3), "shared-beginning-of-32-characters"
+    long = "".join(rng.choice("abcdef") for _ in range(10_000))
+    cells = [long, f"{long}{start}00042", f"{start}99999, {long[:50]}", "none"]
+    needles = [f"{start}{k:05}" for k in range(100_000) if k != 99_999] + [long[700:760]]
+    got = J.contains_join(frame([(c,) for c in cells], "cell string"), "cell", frame([(n,) for n in needles], "n string"), "n")
+    assert sorted(r.cell for r in got.collect()) == sorted(cells[:2])
+    grams = frame([(long,)], "t string").select(F.size(J._grams(F.col("t"), F.lit(J.GRAM_CHARS))).alias("n")).first().n
+    assert grams <= len(long)
+
+
 def test_contains_join_without_needles(frame):
     got = J.contains_join(frame([("a",)], "cell string"), "cell", frame([], "n string"), "n")
     assert got.count() == 0

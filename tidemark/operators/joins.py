@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.text import is_blank, squeeze, tokens
 from tidemark.operators.merge import latest_per_id
 
-# A needle's block key is its first characters up to this many; longer needles are checked in full afterwards.
-SLICE_CHARS = 32
+# Characters of the grams that substrings are looked up by; longer needles are checked in full afterwards.
+GRAM_CHARS = 8
 
 
 def header_lines(head: DataFrame, line: DataFrame, key: str = "doc_entry") -> DataFrame:
@@ -190,27 +190,43 @@ def valid_ref_or_blank(df: DataFrame, ref: str, live: DataFrame, live_key: str =
 # --- substrings -----------------------------------------------------------------------------------------
 
 
-def contains_join(cells: DataFrame, cell: str, needles: DataFrame, needle: str) -> DataFrame:
+def _grams(text: Column, n: Column) -> Column:
+    """Distinct slices of ``n`` characters; no more than the text has characters."""
+    letters = F.split(text, "")
+    starts = F.when(F.size(letters) >= n, F.sequence(F.lit(1), F.size(letters) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(letters, i, n), "")))
+
+
+def contains_join(cells: DataFrame, cell: str, needles: DataFrame, needle: str, gram: int = GRAM_CHARS) -> DataFrame:
     """Distinct ``cell`` values whose squeezed text contains a trimmed needle; blank needles match nothing.
 
-    A needle can only occur where its first characters do, so every slice of a cell that is as long as some
-    needle's key is looked up by equality, and needles longer than their key are then compared in full. Squeezed
-    cells hold no space or comma, so needles that do are left out.
+    A needle's grams (itself, if it is no longer than one) all stand in a text that contains it. One that has a gram in no cell
+    is left out; every other is looked up by the gram that the fewest cells have. Cells go by digest until then: a cell
+    costs rows in proportion to its length, and texts are only read again for needles longer than a gram. Squeezed cells hold no space
+    or comma, so needles that do are left out.
     """
+    length = lambda c: F.size(F.split(c, ""))
     wanted = (
         needles.select(F.trim(F.col(needle)).alias("_needle"))
         .where((F.col("_needle") != "") & (F.col("_needle") == squeeze(F.col("_needle"))))
         .distinct()
-        .withColumn("_slice", F.substring(F.col("_needle"), 1, SLICE_CHARS))
+        .withColumn("_n", F.least(length(F.col("_needle")), F.lit(gram)))
     )
-    lengths = wanted.agg(F.collect_set(F.length("_slice"))).scalar()
+    lengths = wanted.agg(F.collect_set("_n")).scalar()
     texts = cells.where(F.col(cell).isNotNull()).select(cell).distinct().withColumn("_text", squeeze(F.col(cell)))
-    by_length = texts.select("*", F.explode(lengths).alias("_n")).where(F.length("_text") >= F.col("_n"))
-    starts = F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_n") + 1))
-    sliced = by_length.select("*", starts.alias("_at")).select(
-        cell, "_text", F.substr(F.col("_text"), F.col("_at"), F.col("_n")).alias("_slice")
-    )
-    return sliced.join(wanted, "_slice").where(F.contains("_text", "_needle")).select(cell).distinct()
+    texts = texts.where("_text != ''").withColumn("_cell", F.unhex(F.sha2(F.col(cell), 256)))
+    held = texts.select("_cell", "_text", F.explode(lengths).alias("_n"))
+    held = held.select("_cell", F.explode(_grams(F.col("_text"), F.col("_n"))).alias("_gram"))
+    frequency = held.groupBy("_gram").agg(F.count("*").alias("_cells"))
+    asked = wanted.withColumn("_all", _grams(F.col("_needle"), F.col("_n")))
+    known = asked.select("_needle", F.size("_all").alias("_size"), F.explode("_all").alias("_gram")).join(frequency, "_gram")
+    rarest = known.groupBy("_needle", "_size").agg(F.count("*").alias("_known"), F.min(F.struct("_cells", "_gram")).alias("_rarest"))
+    # A needle that is its own gram is found by equality; letters outside the basic plane are two halves here.
+    whole = (F.length("_needle") <= gram) & (F.octet_length("_needle") == F.length("_needle"))
+    chosen = rarest.where("_known = _size").select(F.col("_rarest._gram").alias("_gram"), F.when(~whole, F.col("_needle")).alias("_rest")).distinct()
+    met = held.join(chosen, "_gram").select("_cell", "_rest").distinct()
+    found = texts.join(met, "_cell").where(F.col("_rest").isNull() | F.contains("_text", "_rest"))
+    return found.select(cell).distinct()
 
 
 def token_hits(cells: DataFrame, cell: str, needles: DataFrame, needle: str) -> DataFrame:

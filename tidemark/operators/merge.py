@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.serial import legacy_stamp, serial_stamp
 
@@ -94,3 +94,10 @@ def run_metrics(raw: DataFrame, fetched: DataFrame, to_process: DataFrame) -> Da
         count(F.col("kind") == "fetched").alias("fetched"),
         count(F.col("kind") == "to_process").alias("to_process"),
     )
+
+
+def observed(events: DataFrame) -> tuple[DataFrame, Observation]:
+    """``events``, and their number and that of those without an id, counted on the way as whoever reads them does so."""
+    seen = Observation()
+    without = F.count(F.when(F.col("id").isNull(), 1))
+    return events.observe(seen, F.count(F.lit(1)).alias("found"), without.alias("null_ids")), seen

@@ -355,9 +355,7 @@ def select_distinct(spark, sf_dir):
 
 @query
 def run_metrics(spark, sf_dir):
-    raw = materialize(P.raw_events(tables(spark, sf_dir), AS_OF, LOOKBACK))
-    fetched = MG.latest_per_id(MG.drop_null_ids(raw))
-    return MG.run_metrics(raw, fetched, MG.exclude_processed(fetched, roles.ledger(spark, sf_dir)))
+    return P.counted_fetch(tables(spark, sf_dir), AS_OF, roles.ledger(spark, sf_dir), lookback_days=LOOKBACK)[1]
 
 
 @query
