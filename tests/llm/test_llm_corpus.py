@@ -123,6 +123,29 @@ def test_odd_sketch_keeps_close_pairs():
     assert np.bitwise_count(far.view(np.uint64)).sum() > limit
 
 
+def test_odd_sketch_leaves_out_distant_pairs():
+    random_, out = np.random.default_rng(4), 0
+    for percent, away, share in ((85, 0.4, 0.85), (80, 0.5, 0.95)):
+        samples = near_dedup.bands_for(percent) * near_dedup.ROWS
+        limit, out = near_dedup.most_differing_bits(percent, samples), 0
+        for _ in range(400):
+            one = random_.integers(0, 1 << 32, samples)
+            two = np.where(random_.random(samples) < away, random_.integers(0, 1 << 32, samples), one)
+            out += int(np.bitwise_count((near_dedup.odd_sketch(one) ^ near_dedup.odd_sketch(two)).view(np.uint64)).sum()) > limit
+        assert out >= share * 400
+    # The limit is the quantile of what happens at the similarity itself.
+    assert near_dedup.most_differing_bits(100, 160) == 0 and near_dedup.most_differing_bits(85, 160) < near_dedup.most_differing_bits(80, 160)
+
+
+def test_pages_of_one_template_that_are_no_duplicates(frame):
+    pick = random.Random(8)
+    template = " ".join(f"t{k}" for k in range(90))
+    pairs = [(k, template + " " + " ".join(f"x{pick.randint(0, 10**6)}" for _ in range(45))) for k in range(150)]
+    pairs += [(1000 + k, pairs[k][1] + " end") for k in range(0, 150, 10)]
+    got = near_dedup.near_duplicates(docs(frame, pairs), 5, 85).collect()
+    assert Counter(tuple(r) for r in got) == plain_near(pairs, 85)
+
+
 def test_components(frame):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 3), (20, 21), (5, 5), (None, 4), (30, 31), (31, 32), (32, 30)]
     got = {r.node: r.component for r in components.connected_components(frame(edges, "a long, b long")).collect()}

@@ -22,15 +22,15 @@ import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.bpe import Pieces
+from tidemark.llm.bpe import Pieces, spread
 from tidemark.llm.common import by_ids, chunks, drop, saved, table, texts_only
 from tidemark.llm.components import connected_components
 from tidemark.llm.line_dedup import mixed
 
 #: MinHash values to a band, and the chance at most that a pair of just the similarity shares no band.
 ROWS, MISS = 5, 1e-8
-#: Bits of a parity bitmap, and standard deviations that its estimate may be off before a pair is left out.
-SKETCH_BITS, SIGMAS = 1024, 5.5
+#: Bits of a parity bitmap.
+SKETCH_BITS = 1024
 #: Rows, or hashes of their sets, in a block of members that are compared with each other.
 BLOCK_ROWS, BLOCK_HASHES = 1_024, 1 << 19
 #: Hashes of a long set that are sampled at a time.
@@ -41,12 +41,24 @@ def bands_for(percent: int) -> int:
     return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))
 
 
+@lru_cache(8)
 def most_differing_bits(percent: int, samples: int) -> int:
-    """Bits in which the bitmaps of a pair of this similarity differ at most, but for a vanishing chance."""
-    away = 1 - percent / 100
-    differ = samples * away + SIGMAS * math.sqrt(samples * away * (1 - away))
-    mean = SKETCH_BITS / 2 * (1 - math.exp(-4 * differ / SKETCH_BITS))
-    return math.ceil(mean + SIGMAS * math.sqrt(mean * (1 - mean / SKETCH_BITS)))
+    """Bits in which the bitmaps of a pair of just this similarity differ at most, but for the chance ``MISS``.
+
+    From the distribution itself: so many samples differ, and each that does flips two bits of the bitmaps' difference.
+    """
+    away, bits = 1 - percent / 100, np.arange(SKETCH_BITS + 1)
+    odd, total = np.zeros(SKETCH_BITS + 1), np.zeros(SKETCH_BITS + 1)
+    odd[0] = 1.0
+    ways = lambda k: math.lgamma(samples + 1) - math.lgamma(k + 1) - math.lgamma(samples - k + 1)
+    share = [math.exp(ways(k) + k * math.log(away) + (samples - k) * math.log1p(-away)) if away else float(k == 0) for k in range(samples + 1)]
+    for differ in range(samples + 1):
+        total += share[differ] * odd
+        for _ in range(2):
+            more, less = odd * (SKETCH_BITS - bits) / SKETCH_BITS, odd * bits / SKETCH_BITS
+            odd = np.concatenate([[0.0], more[:-1]]) + np.concatenate([less[1:], [0.0]])
+    beyond = total[::-1].cumsum()[::-1]
+    return int(np.flatnonzero(beyond > MISS)[-1])
 
 
 @lru_cache(8)
@@ -155,7 +167,7 @@ def true_links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: in
     return links
 
 
-def in_blocks(company: DataFrame, payload: str, weight: Column, limit: int) -> DataFrame:
+def in_blocks(company: DataFrame, payload: list[str], weight: Column, limit: int) -> DataFrame:
     """Each hub's company in blocks: a strange member (in another component than most) meets all blocks, others come once a strange block.
 
     ``company``: ``hub``, ``rep``, ``component``, ``strange``, ``n`` and the payload. Block counts follow from sums of ``weight``, so that no block holds much more than
@@ -165,57 +177,73 @@ def in_blocks(company: DataFrame, payload: str, weight: Column, limit: int) -> D
     sums = sums.filter("out > 0").select("hub", F.ceil(F.col("out") / limit).cast("int").alias("lefts"), F.ceil(F.col("all") / limit).cast("int").alias("rights"))
     lot = F.xxhash64("rep")
     company = company.join(sums, "hub").withColumns({"own_left": F.pmod(lot, "lefts").cast("int"), "own_right": F.pmod(F.xxhash64("rep", F.lit(1)), "rights").cast("int")})
-    rest = ["hub", "rep", "component", "n", payload]
+    rest = ["hub", "rep", "component", "n", *payload]
     lefts = company.filter("strange").select(*rest, F.col("own_left").alias("left"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("right"), F.lit(True).alias("is_left"))
     rights = company.select(*rest, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("left"), F.col("own_right").alias("right"), F.lit(False).alias("is_left"))
     return lefts.unionByName(rights).groupBy("hub", "left", "right")
 
 
-def _sides(rows: pa.Table, payload: str) -> tuple[tuple, tuple]:
+def _sides(rows: pa.Table) -> tuple[dict, dict]:
+    """Left and right rows by column; bitmaps as rows of words, of sets the hashes end to end and their numbers."""
     rows = rows.combine_chunks()
     sides = []
     for some in (rows.filter(rows.column("is_left")), rows.filter(pa.compute.invert(rows.column("is_left")))):
-        lists = some.column(payload).combine_chunks()
-        sides.append((some.column("rep").to_numpy(), some.column("component").to_numpy(), some.column("n").to_numpy(), lists.flatten().to_numpy(), np.diff(np.asarray(lists.offsets))))
+        side = {c: some.column(c).to_numpy() for c in ("rep", "component", "n")}
+        side["sketch"] = some.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_BITS // 64)
+        if "hashes" in some.column_names:
+            lists = some.column("hashes").combine_chunks()
+            side["hashes"], side["sizes"] = lists.flatten().to_numpy(), np.diff(np.asarray(lists.offsets))
+        sides.append(side)
     return sides[0], sides[1]
 
 
-def close_rows(limit: int):
-    """Of a block, the members whose bitmap is close to another component's member's."""
+def _may_link(left: dict, k: int, right: dict, percent: int, limit: int) -> np.ndarray:
+    """Of the right rows, those of other components whose size and bitmap allow the similarity to the ``k``-th left row."""
+    n, ns = int(left["n"][k]), right["n"]
+    may = (right["component"] != left["component"][k]) & (100 * np.minimum(n, ns) >= percent * np.maximum(n, ns))
+    at = np.flatnonzero(may)
+    return at[np.bitwise_count(right["sketch"][at] ^ left["sketch"][k]).sum(1) <= limit]
+
+
+def close_rows(percent: int, limit: int):
+    """Of a block, the members that another component's member may be similar to."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        (rep, component, _, sketch, _), (reps, components, _, sketches, _) = _sides(rows, "sketch")
-        words, found = SKETCH_BITS // 64, []
-        sketch, sketches = sketch.view(np.uint64).reshape(-1, words), sketches.view(np.uint64).reshape(-1, words)
-        near = np.zeros(len(reps), bool)
-        for k in range(len(rep)):
-            close = (components != component[k]) & (np.bitwise_count(sketches ^ sketch[k]).sum(1) <= limit)
-            if close.any():
-                found.append(rep[k])
-                near |= close
-        ids = np.unique(np.concatenate([np.array(found, np.int64), reps[near]]))
+        left, right = _sides(rows)
+        found, near = [], np.zeros(len(right["rep"]), bool)
+        for k in range(len(left["rep"])):
+            close = _may_link(left, k, right, percent, limit)
+            if len(close):
+                found.append(left["rep"][k])
+                near[close] = True
+        ids = np.unique(np.concatenate([np.array(found, np.int64), right["rep"][near]]))
         return pa.table({"hub": pa.array(np.full(len(ids), key[0].as_py(), np.int64)), "rep": pa.array(ids)})
 
     return run
 
 
-def linked_rows(percent: int):
-    """Of a block, for each strange member one link to each other component that holds a similar one."""
+def linked_rows(percent: int, limit: int):
+    """Of a block, for each strange member one link to each other component that holds a similar one; sets of pairs that may not link are not compared."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        (rep, component, n, hashes, sizes), (reps, components, ns, others, their) = _sides(rows, "hashes")
+        left, right = _sides(rows)
         x, y = [], []
-        if len(rep) and len(reps):
-            names, ids = np.unique(np.concatenate([hashes, others]), return_inverse=True)
-            mine, theirs = np.split(ids[: len(hashes)], sizes.cumsum())[:-1], ids[len(hashes) :]
-            starts = their.cumsum() - their
+        if len(left["rep"]) and len(right["rep"]):
+            names, ids = np.unique(np.concatenate([left["hashes"], right["hashes"]]), return_inverse=True)
+            mine, theirs = np.split(ids[: len(left["hashes"])], left["sizes"].cumsum())[:-1], ids[len(left["hashes"]) :]
+            starts = right["sizes"].cumsum() - right["sizes"]
+            marks = np.zeros(len(names), np.int32)
             for k, own in enumerate(mine):
-                marks = np.zeros(len(names), np.int32)
+                close = _may_link(left, k, right, percent, limit)
+                if not len(close):
+                    continue
                 marks[own] = 1
-                common = np.add.reduceat(marks[theirs], starts)
-                linked = np.flatnonzero((components != component[k]) & (100 * common >= percent * (n[k] + ns - common)))
-                for at in linked[np.unique(components[linked], return_index=True)[1]]:
-                    x.append(rep[k]), y.append(reps[at])
+                sizes = right["sizes"][close]
+                common = np.add.reduceat(marks[theirs[spread(starts[close], sizes)]], sizes.cumsum() - sizes)
+                marks[own] = 0
+                linked = close[100 * common >= percent * (left["n"][k] + right["n"][close] - common)]
+                for at in linked[np.unique(right["component"][linked], return_index=True)[1]]:
+                    x.append(left["rep"][k]), y.append(right["rep"][at])
         return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
 
     return run
@@ -232,13 +260,13 @@ def other_links(members: DataFrame, components: DataFrame, classes: DataFrame, d
     company = saved(company.filter("rep <> hub").join(classes.select("rep", "n"), "rep"))
     limit = most_differing_bits(percent, bands_for(percent) * ROWS)
     sketched = company.join(classes.select("rep", "sketch"), "rep")
-    near = in_blocks(sketched, "sketch", F.lit(1), BLOCK_ROWS).applyInArrow(close_rows(limit), "hub long, rep long")
-    company = saved(company.join(near.distinct(), ["hub", "rep"]))
+    near = in_blocks(sketched, ["sketch"], F.lit(1), BLOCK_ROWS).applyInArrow(close_rows(percent, limit), "hub long, rep long")
+    company = saved(sketched.join(near.distinct(), ["hub", "rep"]))
     asked = saved(company.select(F.col("rep").alias("doc_id")).distinct())
     sets = saved(full_sets(by_ids(docs, asked), words).withColumnRenamed("doc_id", "rep"))
     # A strange member's block holds its own set once more for each block it meets; sizes bound both.
     with_sets = company.join(sets, "rep").withColumn("n", F.size("hashes").cast("long"))
-    links = saved(in_blocks(with_sets, "hashes", F.col("n"), BLOCK_HASHES).applyInArrow(linked_rows(percent), "x long, y long"))
+    links = saved(in_blocks(with_sets, ["sketch", "hashes"], F.col("n"), BLOCK_HASHES).applyInArrow(linked_rows(percent, limit), "x long, y long"))
     drop(sets)
     return links
 
