@@ -163,7 +163,9 @@ class Pieces:
             data = data[edges[:-1].cumsum(dtype=np.int8).view(bool)]
         column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(begins), pa.py_buffer(np.ascontiguousarray(data))])
         encoded = column.dictionary_encode()
-        return encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
+        _, offsets, values = encoded.dictionary.buffers()
+        cuts, found = np.frombuffer(offsets, np.int64)[: len(encoded.dictionary) + 1].tolist(), values.to_pybytes()
+        return [found[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], encoded.indices.to_numpy()
 
 
 class PairTable:
