@@ -459,6 +459,9 @@ BODIES = {
     "exploded_tokens": f"SELECT booking_id, unnest({_TOKENS}) AS token FROM tp",
     "penalty_metrics": """SELECT booking_id, client_sub_overdue, client_penalty, strftime(deadline, '%Y-%m-%d') AS submit_deadline,
         overdue_days, payment_status, carrier_penalty, lost_penalty, total_sub_penalties, total_penalty_waived FROM m6""",
+    "sql_cell_tokens": """SELECT booking_id, CAST(generate_subscripts(cells, 1) - 1 AS INT) AS position,
+        trim(unnest(cells)) AS token, true AS known
+        FROM (SELECT booking_id, string_split(pv_no, ',') AS cells FROM tp WHERE pv_no IS NOT NULL) q""",
     "net_of_vat": """SELECT booking_id, CASE coalesce(vat_status, 'Y') WHEN 'Y' THEN gross_rates
         WHEN 'N' THEN gross_rates / 1.12::DOUBLE END AS net
         FROM pricing LEFT JOIN partner k ON k.code = 'S' || (CAST(booking_id AS BIGINT) % 120)""",
@@ -488,6 +491,13 @@ BODIES = {
 }
 
 
+# The same results by other ways: a bucketed model, SQL functions.
+for _other, _same in {
+    "refresh_bucketed": "refresh_read_model", "levels_bucketed": "detect_levels", "sql_penalty_metrics": "penalty_metrics",
+}.items():
+    BODIES[_other] = BODIES[_same]
+
+
 def _with_roles(body: str) -> str:
     """``body`` behind the role views it uses, directly or through others, in their declared order."""
     used, text = set(), [body]

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions import metrics as M, text as X
 from tidemark.functions.clock import Clock, day_text
 from tidemark.functions.serial import last_segment, legacy_stamp, serial_stamp
+from tidemark.functions.sql import register_functions
 from tidemark.operators import aggregates as A, filters as FL, joins as J, locks as L, merge as MG
 from tidemark.operators.snapshots import pending_snapshots
 from tidemark.plans import booking_view as V, delta as DL, detectors as D, drift as R, fetch as P, refresh as RF
 from tidemark.plans.lock_history import lock_history, read_requests
 from tidemark.session import materialize, shared_dir
+from tidemark.sources.bucketed_model import BucketedModel
 from tidemark.sources.events import read_event_file
 from tidemark.sources.ledger import append_ledger, ledger_for
 from tidemark.sources.messages import dispatch, parse_messages, payload, to_requests
@@ -534,6 +536,30 @@ def refresh_read_model(spark, sf_dir):
     return model.read()
 
 
+def _bucketed(spark, rows: DataFrame) -> BucketedModel:
+    base = f"model_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{scratch(spark, 'bucketed')}'")
+    model = BucketedModel(spark, f"{base}.rows", "booking_id", rows.schema, buckets=16)
+    model.create(rows)
+    return model
+
+
+@query
+def refresh_bucketed(spark, sf_dir):
+    """The same refresh of a model that is bucketed by its key."""
+    model = _bucketed(spark, roles.read_model(spark, sf_dir).select(*MODEL))
+    ids = D.detect_missing(tables(spark, sf_dir), AS_OF).union(D.detect_dup(tables(spark, sf_dir), AS_OF))
+    RF.refresh_read_model(ids.select(F.col("id").alias("booking_id")), model, _rebuild(spark, sf_dir))
+    return model.read()
+
+
+@query
+def levels_bucketed(spark, sf_dir):
+    """The level detectors on a bucketed model, which they don't shuffle."""
+    model = _bucketed(spark, roles.read_model(spark, sf_dir).select(*MODEL))
+    return D.detect_levels(tables(spark, sf_dir).replaced(read_model=model.read), AS_OF)
+
+
 @query
 def upsert_by_key(spark, sf_dir):
     target = roles.read_model(spark, sf_dir).select(*MODEL)
@@ -680,6 +706,34 @@ def penalty_metrics(spark, sf_dir):
     )
 
 
+@query
+def sql_penalty_metrics(spark, sf_dir):
+    """The metrics by a SQL text that calls the functions by name."""
+    register_functions(spark)
+    t = tables(spark, sf_dir)
+    star = V.enrich_booking(t["pod"], t["billing"], t["tp"], t["pricing"], t["partner"])
+    metrics = spark.sql(
+        f"""SELECT s.booking_id, p.* FROM (
+            SELECT *, net_of_vat(pricing_gross_rates, carrier_vat_status) + net_of_vat(pricing_demurrage2, carrier_vat_status)
+                + net_of_vat(pricing_addtl_drop + pricing_boom_truck + pricing_manpower + pricing_backload, carrier_vat_status)
+                AS carrier_total FROM {{star}}) s,
+            LATERAL booking_penalties(delivery_date, client_received, actual_received, waived_days, client_cdc, client_dcd,
+                holiday_days, carrier_total, penalties_manual, perc_penalty, DATE'{AS_OF}') p""",
+        star=star,
+    )
+    return _view_out(metrics)
+
+
+@query
+def sql_cell_tokens(spark, sf_dir):
+    """Tokens of the bookings' reference cells, through the table function."""
+    register_functions(spark)
+    return spark.sql(
+        "SELECT booking_id, position, token, cell_has(pv_no, token) AS known FROM {tp}, LATERAL cell_tokens(pv_no)",
+        tp=roles.tp(spark, sf_dir),
+    )
+
+
 @query
 def net_of_vat(spark, sf_dir):
     rates = roles.pricing(spark, sf_dir).withColumn("carrier", F.expr("concat('S', CAST(booking_id AS BIGINT) % 120)"))
