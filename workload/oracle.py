@@ -39,11 +39,17 @@ ROLES = {
     "heads": """SELECT o_orderkey AS doc_entry, o_orderkey AS doc_num, CAST(o_orderdate AS DATE) AS create_date,
         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INT) AS update_date,
         CAST(o_orderkey * 7919 % 24 * 10000 + o_orderkey % 60 * 100 AS INT) AS update_ts,
-        CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS cancelled,
+        CASE WHEN o_orderstatus = 'P' THEN 'Y' WHEN o_orderkey % 11 = 0 THEN 'C' WHEN o_orderkey % 13 <> 0 THEN 'N' END AS cancelled,
         CASE WHEN o_orderkey % 5 = 0 THEN 'PV' || o_orderkey || ' , PV' || (o_orderkey + 1)
              WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 1009 = 0 THEN '' ELSE 'PV' || o_orderkey END AS pv_no
         FROM orders""",
     "lines": "SELECT l_orderkey AS doc_entry, CAST(l_partkey AS VARCHAR) AS item FROM lineitem",
+    "payable": "SELECT * FROM heads WHERE doc_num % 3 <> 2",
+    "sales": "SELECT * FROM heads WHERE doc_num % 3 <> 0",
+    "receivable": "SELECT * FROM heads WHERE doc_num % 3 <> 1",
+    "payable_line": "SELECT * FROM lines WHERE CAST(item AS BIGINT) % 5 <> 0",
+    "receivable_line": """SELECT l_orderkey AS doc_entry, CAST(l_partkey AS VARCHAR) AS item FROM lineitem WHERE l_partkey % 7 <> 0
+        UNION ALL SELECT l_orderkey, CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_linenumber = 1""",
     "pod": _pod(),
     "tp": """SELECT CAST(p_partkey AS VARCHAR) AS booking_id, 'T' || p_partkey AS code,
         CASE WHEN p_partkey % 13 = 0 THEN '' WHEN p_partkey % 17 = 0 THEN NULL
@@ -72,7 +78,7 @@ ROLES = {
         CAST(ts AS DATE) - {PAYMENT_SHIFT} AS create_date,
         CAST(ts AS DATE) - {PAYMENT_SHIFT} + CAST(event_id % 2 AS INT) AS update_date,
         CAST(hour(ts) * 10000 + minute(ts) * 100 AS INT) AS update_ts,
-        CASE WHEN event_id % 9 = 0 THEN 'Y' WHEN event_id % 10 <> 0 THEN 'N' END AS cancelled
+        CASE WHEN event_id % 9 = 0 THEN 'Y' WHEN event_id % 7 = 0 THEN 'C' WHEN event_id % 10 <> 0 THEN 'N' END AS cancelled
         FROM events WHERE event_type = 'purchase'""",
     "payment_line": """SELECT event_id AS doc_num, event_id AS doc_entry FROM events WHERE event_type = 'purchase'
         UNION ALL SELECT event_id, event_id + 7 FROM events WHERE event_type = 'purchase'""",
@@ -81,17 +87,25 @@ ROLES = {
         FROM live GROUP BY item""",
     "dlists": """SELECT item, substr(' ' || string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num), 1, 1000) AS doc_list
         FROM (SELECT DISTINCT item, doc_num FROM live) d GROUP BY item""",
+    "rlive": "SELECT item, doc_num FROM receivable JOIN receivable_line USING (doc_entry) WHERE cancelled = 'N'",
+    "rlists": """SELECT item, substr(' ' || string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num), 1, 1000) AS doc_list
+        FROM rlive GROUP BY item""",
+    "rdlists": """SELECT item, substr(' ' || string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num), 1, 1000) AS doc_list
+        FROM (SELECT DISTINCT item, doc_num FROM rlive) d GROUP BY item""",
+    "plive": "SELECT item FROM payable JOIN payable_line USING (doc_entry) WHERE cancelled = 'N'",
     "read_model": """SELECT CAST(p_partkey AS VARCHAR) AS booking_id,
         CASE WHEN p_partkey % 19 = 0 THEN 'n/a' ELSE CAST(p_partkey * 7 AS VARCHAR) END AS so_ref,
         array_to_string(list_transform(range(0, p_size % 4 + 1), lambda i: CAST(p_partkey * 5 + i * 11 AS VARCHAR)), ', ')
             AS doc_refs,
         CASE WHEN p_partkey % 2 = 0 THEN (p_partkey * 5 + 1) || ' ,n/a' END AS paid_refs,
-        CASE p_partkey % 5 WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN doc_list
+        CASE WHEN p_partkey % 25 = 4 THEN array_to_string(list_reverse(string_split(trim(doc_list), ', ')), ', ')
+            WHEN p_partkey % 25 = 6 THEN regexp_replace(trim(doc_list), '^[0-9]+', '7')
+            WHEN p_partkey % 5 = 1 THEN NULL WHEN p_partkey % 5 = 2 THEN ' ' WHEN p_partkey % 5 = 3 THEN doc_list
             ELSE (p_partkey * 3) || ', ' || (p_partkey * 3 + 1) END AS ar_refs,
         CASE WHEN p_partkey % 11 = 0 THEN ' ' WHEN p_partkey % 22 = 1 THEN NULL ELSE p_brand END AS ptf_no
         FROM (SELECT * FROM part WHERE p_partkey % 10 <> 0
               UNION ALL SELECT * FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 97 = 0) p
-        LEFT JOIN dlists ON item = CAST(p_partkey AS VARCHAR)""",
+        LEFT JOIN rdlists ON item = CAST(p_partkey AS VARCHAR)""",
     "rates_staging": """SELECT CAST(p_partkey AS VARCHAR) AS booking_id,
         CASE WHEN p_partkey % 5 = 0 THEN 'NaN' ELSE CAST(p_size AS VARCHAR) END AS amount,
         CASE WHEN p_partkey % 7 = 0 THEN 'NaN' WHEN p_partkey % 3 = 0 THEN NULL ELSE p_brand END AS addl_amount FROM part""",
@@ -103,32 +117,33 @@ ROLES = {
         WHERE (create_date BETWEEN DATE'{AS_OF}' - {LOOKBACK} AND DATE'{AS_OF}')
            OR (update_date BETWEEN DATE'{AS_OF}' - {LOOKBACK} AND DATE'{AS_OF}')""",
     "ap": """SELECT DISTINCT t.booking_id AS id, 'AP' || h.doc_num || '-' || h.moment AS serial
-        FROM changed h LEFT JOIN lines l ON l.doc_entry = h.doc_entry
+        FROM (SELECT * FROM changed WHERE doc_num % 3 <> 2) h LEFT JOIN payable_line l ON l.doc_entry = h.doc_entry
         JOIN tp t ON rtrim(t.pv_no) = rtrim(h.pv_no)
           OR list_contains(list_transform(string_split(t.pv_no, ','), lambda x: trim(x)), rtrim(h.pv_no))
           OR list_contains(list_transform(string_split(h.pv_no, ','), lambda x: trim(x)), rtrim(t.pv_no))
           OR t.booking_id = l.item""",
-    "named_by": """SELECT DISTINCT t.booking_id, h.doc_num FROM heads h LEFT JOIN lines l ON l.doc_entry = h.doc_entry
+    "named_by": """SELECT DISTINCT t.booking_id, h.doc_num FROM payable h LEFT JOIN payable_line l ON l.doc_entry = h.doc_entry
         JOIN tp t ON (rtrim(t.pv_no) = rtrim(h.pv_no) AND trim(h.pv_no) <> '')
           OR (trim(h.pv_no) <> '' AND list_contains(list_transform(string_split(t.pv_no, ','), lambda x: trim(x)), rtrim(h.pv_no)))
           OR (trim(t.pv_no) <> '' AND list_contains(list_transform(string_split(h.pv_no, ','), lambda x: trim(x)), rtrim(t.pv_no)))
           OR t.booking_id = l.item""",
     "op": f"""SELECT DISTINCT m.booking_id AS id, 'OP' || p.doc_num || '-' || strftime(p.update_date, '%Y%m%d') || p.update_ts AS serial
-        FROM payment_head p JOIN payment_line pl ON pl.doc_num = p.doc_entry JOIN heads h ON h.doc_entry = pl.doc_entry
+        FROM payment_head p JOIN payment_line pl ON pl.doc_num = p.doc_entry JOIN payable h ON h.doc_entry = pl.doc_entry
         JOIN (SELECT booking_id, TRY_CAST(trim(unnest(string_split(doc_refs, ','))) AS BIGINT) AS ref FROM read_model
               UNION ALL SELECT booking_id, TRY_CAST(trim(unnest(string_split(paid_refs, ','))) AS BIGINT) FROM read_model) m
           ON m.ref = h.doc_num
         WHERE p.cancelled <> 'Y' AND ((p.create_date BETWEEN DATE'{AS_OF}' - {LOOKBACK} AND DATE'{AS_OF}')
            OR (p.update_date BETWEEN DATE'{AS_OF}' - {LOOKBACK} AND DATE'{AS_OF}'))""",
     "so": """SELECT l.item AS id, 'SO' || doc_num || '-' || moment AS serial FROM changed JOIN lines l USING (doc_entry)
-        UNION SELECT m.booking_id, 'SO' || doc_num || '-' || moment FROM changed
-        JOIN read_model m ON TRY_CAST(m.so_ref AS BIGINT) = doc_num""",
+        WHERE doc_num % 3 <> 0 UNION SELECT m.booking_id, 'SO' || doc_num || '-' || moment FROM changed
+        JOIN read_model m ON TRY_CAST(m.so_ref AS BIGINT) = doc_num WHERE doc_num % 3 <> 0""",
     "ar": """SELECT DISTINCT l.item AS id, 'AR' || doc_num || '-' || moment AS serial
-        FROM changed JOIN lines l USING (doc_entry)""",
+        FROM changed JOIN receivable_line l USING (doc_entry) WHERE doc_num % 3 <> 1""",
     "counts": "SELECT item, count(doc_num) AS n_docs, count(DISTINCT doc_num) AS n_distinct FROM live GROUP BY item",
+    "rcounts": "SELECT item, count(doc_num) AS n_docs, count(DISTINCT doc_num) AS n_distinct FROM rlive GROUP BY item",
     "sets": """SELECT m.booking_id, m.ar_refs,
           list_sort(list_distinct(list_transform(string_split(m.ar_refs, ','), lambda x: trim(x)))) AS listed,
-          (SELECT list_sort(list(DISTINCT CAST(doc_num AS VARCHAR))) FROM live WHERE item = m.booking_id) AS actual
+          (SELECT list_sort(list(DISTINCT CAST(doc_num AS VARCHAR))) FROM rlive WHERE item = m.booking_id) AS actual
         FROM (SELECT DISTINCT booking_id, ar_refs FROM read_model) m""",
     "bn": f"""SELECT DISTINCT item AS id, 'BN-' || strftime(create_date, '%Y%m%d') || create_ts AS serial FROM items i
         WHERE item IS NOT NULL AND create_date BETWEEN DATE'{AS_OF}' - {LOOKBACK} AND DATE'{AS_OF}'
@@ -140,7 +155,7 @@ ROLES = {
     "missing": f"""SELECT DISTINCT booking_id AS id, 'MISSING-{NOW}' AS serial FROM pod
         WHERE booking_id NOT IN (SELECT booking_id FROM read_model)""",
     "arnr": f"""SELECT DISTINCT s.booking_id AS id, 'AR' || doc_list || '-NR-{NOW}' AS serial
-        FROM sets s JOIN counts c ON c.item = s.booking_id JOIN lists l ON l.item = s.booking_id
+        FROM sets s JOIN rcounts c ON c.item = s.booking_id JOIN rlists l ON l.item = s.booking_id
         WHERE coalesce(trim(ar_refs), '') = '' OR (len(string_split(ar_refs, ',')) < n_docs AND listed <> actual)""",
     "raw": """SELECT id, serial, 'AP' AS detector, 1 AS rank FROM ap UNION ALL SELECT *, 'OP', 2 FROM op
         UNION ALL SELECT *, 'SO', 3 FROM so UNION ALL SELECT *, 'AR', 4 FROM ar UNION ALL SELECT *, 'ARNR', 5 FROM arnr
@@ -196,11 +211,15 @@ ROLES = {
         FROM held WHERE event_type = 'click'
         UNION ALL SELECT event_id, 'BROADCAST', recipient, session_id, 'UPDATE', NULL, grp, CAST(k AS VARCHAR) FROM told""",
     "live_ref": "SELECT DISTINCT CAST(doc_entry AS VARCHAR) AS ref FROM heads WHERE cancelled = 'N'",
+    "order_ref": "SELECT DISTINCT CAST(doc_entry AS VARCHAR) AS ref FROM sales WHERE cancelled = 'N'",
     "in_cell": """SELECT DISTINCT c.pv_no FROM (SELECT DISTINCT pv_no FROM tp WHERE pv_no IS NOT NULL) c
-        JOIN (SELECT DISTINCT trim(pv_no) AS needle FROM heads WHERE cancelled = 'N' AND trim(pv_no) <> '') n
+        JOIN (SELECT DISTINCT trim(pv_no) AS needle FROM payable WHERE cancelled = 'N' AND trim(pv_no) <> '') n
           ON contains(translate(trim(c.pv_no), ' ,', ''), n.needle)""",
-    "disabled": """SELECT booking_id, CASE WHEN booking_id IN (SELECT item FROM live)
-          AND (booking_id IN (SELECT item FROM live) OR pv_no IN (SELECT pv_no FROM in_cell)) THEN 'Y' ELSE 'N' END AS disable_row
+    "in_tokens": """SELECT DISTINCT t.pv_no
+        FROM (SELECT pv_no, unnest(list_transform(string_split(pv_no, ','), lambda x: trim(x))) AS tok FROM tp) t
+        JOIN (SELECT trim(pv_no) AS needle FROM payable WHERE cancelled = 'N') n ON n.needle = t.tok WHERE t.tok <> ''""",
+    "disabled": """SELECT booking_id, CASE WHEN booking_id IN (SELECT item FROM rlive)
+          AND (booking_id IN (SELECT item FROM plive) OR pv_no IN (SELECT pv_no FROM in_cell)) THEN 'Y' ELSE 'N' END AS disable_row
         FROM tp""",
 }
 
@@ -239,9 +258,10 @@ ROLES |= _metrics()
 
 _DATES = ("booking_date", "delivery_date", "client_received", "initial_received", "actual_received")
 _VIEW = {
-    "disable_row": "CASE WHEN booking_id IN (SELECT item FROM live) THEN 'Y' ELSE 'N' END",
+    "disable_row": "CASE WHEN booking_id IN (SELECT item FROM rlive) AND (booking_id IN (SELECT item FROM plive) "
+    "OR pv_no IN (SELECT pv_no FROM in_cell)) THEN 'Y' ELSE 'N' END",
     "code": "booking_id",
-    "so_ref": "CASE WHEN b_ref IN (SELECT ref FROM live_ref) THEN b_ref ELSE '' END",
+    "so_ref": "CASE WHEN b_ref IN (SELECT ref FROM order_ref) THEN b_ref ELSE '' END",
     "client_name": "c_name",
     "carrier_name": "k_name",
     "day_of_week": "CASE WHEN coalesce(trim(day_of_week), '') = '' THEN dayname(booking_date) ELSE day_of_week END",
@@ -300,11 +320,11 @@ _ROWS = """SELECT p.booking_id, so_ref, doc_refs, paid_refs, ar_refs, ptf_no
     FROM (SELECT booking_id, max(ptf_no) AS ptf_no FROM pod WHERE booking_id IS NOT NULL GROUP BY booking_id) p
     LEFT JOIN (SELECT booking_id, max(so_ref) AS so_ref FROM billing GROUP BY booking_id) USING (booking_id)
     LEFT JOIN (SELECT item AS booking_id, string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) AS ar_refs
-               FROM (SELECT DISTINCT item, doc_num FROM live) GROUP BY item) USING (booking_id)
+               FROM (SELECT DISTINCT item, doc_num FROM rlive) GROUP BY item) USING (booking_id)
     LEFT JOIN (SELECT booking_id, string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) AS doc_refs,
                  string_agg(CAST(doc_num AS VARCHAR), ', ' ORDER BY doc_num) FILTER (WHERE settled) AS paid_refs
                FROM (SELECT *, doc_num IN (SELECT h.doc_num FROM payment_head p JOIN payment_line pl ON pl.doc_num = p.doc_entry
-                                           JOIN heads h ON h.doc_entry = pl.doc_entry WHERE p.cancelled <> 'Y') AS settled
+                                           JOIN payable h ON h.doc_entry = pl.doc_entry WHERE p.cancelled <> 'Y') AS settled
                      FROM named_by) GROUP BY booking_id) USING (booking_id)"""
 
 BODIES = {
@@ -367,7 +387,9 @@ BODIES = {
     "enrich_booking": """SELECT booking_id, b_code AS billing_code, t_code AS tp_code, r_code AS pricing_code,
         c_name AS client_name, k_name AS carrier_name FROM star""",
     "row_disabled_flag": "SELECT booking_id, disable_row FROM disabled",
-    "row_disabled_flag_token": "SELECT booking_id, CASE WHEN booking_id IN (SELECT item FROM live) THEN 'Y' ELSE 'N' END AS disable_row FROM tp",
+    "row_disabled_flag_token": """SELECT booking_id, CASE WHEN booking_id IN (SELECT item FROM rlive)
+          AND (booking_id IN (SELECT item FROM plive) OR pv_no IN (SELECT pv_no FROM in_tokens)) THEN 'Y' ELSE 'N' END AS disable_row
+        FROM tp""",
     "contains_join": """SELECT DISTINCT c.pv_no FROM (SELECT DISTINCT pv_no FROM tp WHERE pv_no IS NOT NULL) c
         JOIN (SELECT DISTINCT trim(pv_no) AS needle FROM heads WHERE trim(pv_no) <> '') n
           ON contains(translate(trim(c.pv_no), ' ,', ''), n.needle)""",
@@ -406,11 +428,11 @@ BODIES = {
     "detect_ar": f"SELECT {_EVENT} FROM ar",
     "detect_arnr": f"SELECT {_EVENT} FROM arnr",
     "detect_arnr_legacy": f"""SELECT DISTINCT m.booking_id AS id, 'AR' || l.doc_list || '-NR-{NOW}' AS serial
-        FROM read_model m JOIN counts c ON c.item = m.booking_id JOIN lists l ON l.item = m.booking_id
-        JOIN dlists d ON d.item = m.booking_id WHERE coalesce(trim(ar_refs), '') = ''
+        FROM read_model m JOIN rcounts c ON c.item = m.booking_id JOIN rlists l ON l.item = m.booking_id
+        JOIN rdlists d ON d.item = m.booking_id WHERE coalesce(trim(ar_refs), '') = ''
           OR (len(string_split(ar_refs, ',')) < n_docs AND d.doc_list <> rtrim(ar_refs))""",
     "detect_arnr_distinct": f"""SELECT DISTINCT s.booking_id AS id, 'AR' || doc_list || '-NR-{NOW}' AS serial
-        FROM sets s JOIN counts c ON c.item = s.booking_id JOIN lists l ON l.item = s.booking_id
+        FROM sets s JOIN rcounts c ON c.item = s.booking_id JOIN rlists l ON l.item = s.booking_id
         WHERE coalesce(trim(ar_refs), '') = '' OR (len(string_split(ar_refs, ',')) < n_distinct AND listed <> actual)""",
     "detect_bn": f"SELECT {_EVENT} FROM bn",
     "detect_dup": f"SELECT {_EVENT} FROM dup",

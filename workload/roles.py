@@ -23,7 +23,8 @@ LOOKBACK = 30
 # Days from the payments' year back to that of the documents.
 PAYMENT_SHIFT = 9371
 
-DOC_ROLES = ("payable", "order", "receivable")
+# Documents of each kind, and the lines of each.
+KINDS = {"payable_head": "doc_num % 3 <> 2", "order_head": "doc_num % 3 <> 0", "receivable_head": "doc_num % 3 <> 1"}
 PLAIN_POD = {
     "booking_id": "CAST(p_partkey AS STRING)",
     "booking_date": "date_add(DATE'1998-01-01', CAST(p_partkey % 200 AS INT))",
@@ -76,7 +77,7 @@ def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{day} AS create_date",
         f"date_add({day}, CAST(o_orderkey % 3 AS INT)) AS update_date",
         "CAST(o_orderkey * 7919 % 24 * 10000 + o_orderkey % 60 * 100 AS INT) AS update_ts",
-        "CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS cancelled",
+        "CASE WHEN o_orderstatus = 'P' THEN 'Y' WHEN o_orderkey % 11 = 0 THEN 'C' WHEN o_orderkey % 13 <> 0 THEN 'N' END AS cancelled",
         """CASE WHEN o_orderkey % 5 = 0 THEN concat('PV', o_orderkey, ' , PV', o_orderkey + 1)
                 WHEN o_orderkey % 7 = 0 THEN NULL
                 WHEN o_orderkey % 1009 = 0 THEN ''
@@ -90,6 +91,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def payable_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth booking is on no payable's line: only a reference in its cell can name it."""
+    return lines(spark, sf_dir).where("CAST(item AS BIGINT) % 5 <> 0")
+
+
+def receivable_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh booking has no receivable, and each document's first line is there twice."""
+    given_lines = given(spark, sf_dir, "lineitem").where("l_partkey % 7 <> 0")
+    both = given_lines.unionByName(given_lines.where("l_linenumber = 1"))
+    return both.selectExpr("l_orderkey AS doc_entry", "CAST(l_partkey AS STRING) AS item")
+
+
 def pod(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = {
         c: f"concat('{c}-', p_partkey % {3 + i % 11})" for i, c in enumerate(POD_COLUMNS) if c not in PLAIN_POD
@@ -169,7 +182,7 @@ def payment_head(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{day} AS create_date",
         f"date_add({day}, CAST(event_id % 2 AS INT)) AS update_date",
         "hour(ts) * 10000 + minute(ts) * 100 AS update_ts",
-        "CASE WHEN event_id % 9 = 0 THEN 'Y' WHEN event_id % 10 <> 0 THEN 'N' END AS cancelled",
+        "CASE WHEN event_id % 9 = 0 THEN 'Y' WHEN event_id % 7 = 0 THEN 'C' WHEN event_id % 10 <> 0 THEN 'N' END AS cancelled",
     )
 
 
@@ -193,10 +206,14 @@ def read_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derived_read_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth booking is absent, every 97th of the rest is there twice, the lists are partly stale."""
+    """Every tenth booking is absent, every 97th of the rest is there twice, the lists are partly stale.
+
+    Some lists have the right numbers in another order, or as many numbers as there are documents, but not the same.
+    """
     part = given(spark, sf_dir, "part").where("p_partkey % 10 <> 0")
     part = part.unionByName(part.where("p_partkey % 97 = 0"))
-    listed = doc_list(live_doc_counts(heads(spark, sf_dir), lines(spark, sf_dir)), distinct=True)
+    receivables = heads(spark, sf_dir).where(KINDS["receivable_head"])
+    listed = doc_list(live_doc_counts(receivables, receivable_line(spark, sf_dir)), distinct=True)
     rows = part.withColumn("booking_id", F.col("p_partkey").cast("string"))
     return rows.join(listed.withColumnRenamed("item", "booking_id"), "booking_id", "left").selectExpr(
         "booking_id",
@@ -204,8 +221,11 @@ def _derived_read_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         """array_join(transform(sequence(0, p_size % 4), i -> CAST(p_partkey * 5 + i * 11 AS STRING)), ', ')
            AS doc_refs""",
         "CASE WHEN p_partkey % 2 = 0 THEN concat(p_partkey * 5 + 1, ' ,n/a') END AS paid_refs",
-        """CASE p_partkey % 5 WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN doc_list
-           ELSE concat(p_partkey * 3, ', ', p_partkey * 3 + 1) END AS ar_refs""",
+        """CASE p_partkey % 25 WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN doc_list
+           WHEN 4 THEN array_join(reverse(split(trim(doc_list), ', ')), ', ')
+           WHEN 6 THEN regexp_replace(trim(doc_list), '^[0-9]+', '7')
+           ELSE CASE p_partkey % 5 WHEN 1 THEN NULL WHEN 2 THEN ' ' WHEN 3 THEN doc_list
+           ELSE concat(p_partkey * 3, ', ', p_partkey * 3 + 1) END END AS ar_refs""",
         "CASE WHEN p_partkey % 11 = 0 THEN ' ' WHEN p_partkey % 22 = 1 THEN NULL ELSE p_brand END AS ptf_no",
     )
 
@@ -226,9 +246,10 @@ class Tables(Mapping):
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        makers = (pod, tp, billing, pricing, partner, payment_head, payment_line, read_model, rates_staging)
+        makers = (pod, tp, billing, pricing, partner, payment_head, payment_line, read_model, rates_staging, payable_line, receivable_line)
         self._makers = {make.__name__: make for make in makers} | {"item": items}
-        self._makers |= {f"{role}_head": heads for role in DOC_ROLES} | {f"{role}_line": lines for role in DOC_ROLES}
+        self._makers |= {"order_line": lines}
+        self._makers |= {role: lambda spark, sf_dir, of=of: heads(spark, sf_dir).where(of) for role, of in KINDS.items()}
         self._source = (spark, sf_dir)
 
     def replaced(self, **makers) -> Tables:
