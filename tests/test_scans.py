@@ -35,6 +35,19 @@ def test_scan_with_hot_and_null_keys(frame, descending, parts):
     assert len(got) == len(rows)
 
 
+def test_keys_that_fit_a_task_take_one_shuffle_and_no_copy(frame):
+    rows = [(f"k{i % 9}", i, i) for i in range(200)]
+    scanned = scan_before(frame(rows, "k string, at int, v bigint"), ["k"], ["at"], {"top": ("max", F.col("v"))})
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "FileScan" not in plan
+
+
+def test_scan_of_nothing(frame):
+    empty = frame([], "k string, at int, v bigint")
+    for keys in (["k"], []):
+        assert scan_before(empty, keys, ["at"], {"top": ("max", F.col("v"))}, parts=3).collect() == []
+
+
 def test_number_rows(frame):
     df = frame([(i * 37 % 101,) for i in range(101)], "x int")
     assert sorted((r.x, r.step) for r in number_rows(df, ["x"], parts=5).collect()) == [(i, i + 1) for i in range(101)]

@@ -70,25 +70,22 @@ def registration_intervals(entries: DataFrame, leaves: DataFrame, parts: int | N
     )
 
 
-def lock_holds(stints: DataFrame, parts: int | None = None) -> DataFrame:
+def lock_holds(stints: DataFrame, parts: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Stints with ``granted_at`` (NULL if never) and ``queue_position``, the number present at entry.
 
     A stint is granted at its entry or at the latest leave of those before it, whichever is later, unless it
-    has left by then. A ``granted_at`` that is already known is kept.
+    has left by then. A ``granted_at`` that is already known is kept. ``sizes`` is as for :func:`scan_before`.
     """
-    enters = stints.select(
-        "grp", "row_id", F.col("enter").alias("at"), F.lit(1).alias("kind"), "client", "user_id", "user_name",
-        "leave", F.col("granted_at").alias("known"), F.coalesce("leave", _never()).alias("_until"),
-        F.lit(1).cast("bigint").alias("_delta"),
-    )
-    exits = stints.where("leave IS NOT NULL").select(
-        "grp", "row_id", F.col("leave").alias("at"), F.lit(0).alias("kind"), "client",
-        _null("string").alias("user_id"), _null("string").alias("user_name"), _null(AT).alias("leave"),
-        _null(AT).alias("known"), _null(AT).alias("_until"), F.lit(-1).cast("bigint").alias("_delta"),
+    both = F.when(F.col("leave").isNotNull(), F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(1)))
+    entered = F.col("kind") == 1
+    moments = stints.select("*", F.explode(both).alias("kind")).select(
+        "grp", "row_id", F.when(entered, F.col("enter")).otherwise(F.col("leave")).alias("at"), "kind", *INFO, "leave",
+        F.col("granted_at").alias("known"), F.when(entered, F.coalesce("leave", _never())).alias("_until"),
+        F.when(entered, 1).otherwise(-1).cast("bigint").alias("_delta"),
     )
     scanned = scan_before(
-        enters.unionByName(exits), ["grp", "row_id"], ["at", "kind", "client"],
-        {"_busy": ("max", F.col("_until")), "queue_position": ("sum", F.col("_delta"))}, parts=parts,
+        moments, ["grp", "row_id"], ["at", "kind", "client"],
+        {"_busy": ("max", F.col("_until")), "queue_position": ("sum", F.col("_delta"))}, parts=parts, sizes=sizes,
     ).where("kind = 1")
     turn = F.greatest("at", "_busy")
     reached = F.when(turn < F.coalesce("leave", _never()), turn)
@@ -112,8 +109,10 @@ def holder_at(probes: DataFrame, holds: DataFrame, parts: int | None = None) ->
         F.struct(*INFO, F.col("leave").alias("until")).alias("start"),
     )
     marks = asked.withColumn("start", F.lit(None).cast(start.schema["start"].dataType)).unionByName(start)
+    # Counted before the grants are known, so that counting doesn't work them out.
+    sizes = probes.select("grp", "row_id").unionByName(holds.select("grp", "row_id"))
     found = scan_before(
-        marks, ["grp", "row_id"], ["at", "kind"], {"holder": ("last", F.col("start"))}, parts=parts
+        marks, ["grp", "row_id"], ["at", "kind"], {"holder": ("last", F.col("start"))}, parts=parts, sizes=sizes
     ).where("kind = 0")
     held = F.col("holder").isNotNull() & (F.col("at") < F.coalesce("holder.until", _never()))
     return found.select(

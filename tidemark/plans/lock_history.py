@@ -31,4 +31,5 @@ def lock_history(requests: DataFrame, open_stints: DataFrame | None = None, part
     if open_stints is not None:
         earlier = open_stints.select(*INFO, "grp", "row_id", F.col("enter").alias("at"), "granted_at")
         entries = entries.unionByName(earlier, allowMissingColumns=True)
-    return lock_holds(registration_intervals(entries, clean_ups(requests), parts), parts)
+    # A stint enters and leaves a row once each, and there are no more of them than entries.
+    return lock_holds(registration_intervals(entries, clean_ups(requests), parts), parts, entries.select("grp", "row_id"))
