@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 CHECKED = [
     "changed_on", "csv_membership", "multivalue_join", "not_in_keys", "contains_join", "doc_list", "detect_op",
     "detect_arnr", "detect_levels", "detect_bpdi", "booking_view", "scalar_functions", "message_requests",
-    "fetch_events",
+    "fetch_events", "messages_valid", "messages_rejected", "event_file_stream",
 ]
 
 

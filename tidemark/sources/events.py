@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import EVENT, EVENT_FILE
 
@@ -19,15 +19,16 @@ def _rows(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         return spark.createDataFrame([], EVENT_FILE)
 
 
-def _usable():
+def usable() -> Column:
+    """Whether a row of an event file is an event."""
     return F.col("bad_text").isNull() & F.col("id").isNotNull() & F.col("serial").isNotNull()
 
 
 def read_event_file(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Events of a JSON array, or of JSON lines; a missing file means no events."""
-    return _rows(spark, path, multi_line).where(_usable()).select(*EVENT.names)
+    return _rows(spark, path, multi_line).where(usable()).select(*EVENT.names)
 
 
 def rejected_events(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """What ``read_event_file`` leaves out: rows without an id or a serial, and text that is no such JSON."""
-    return _rows(spark, path, multi_line).where(~_usable())
+    return _rows(spark, path, multi_line).where(~usable())

@@ -24,18 +24,19 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def is_json_container(text: Column) -> Column:
-    """Whether the text is one non-empty JSON object or array."""
+def mark_containers(log: DataFrame) -> DataFrame:
+    """``log`` with ``_ok``: whether the text is one non-empty JSON object or array. Each text is parsed once for it."""
     # Inside brackets, a valid value that is followed by something else is no longer valid or no longer alone.
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    alone = wrapped.isNotNull() & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    container = text.rlike(r"^\s*[{\[]") & ~text.rlike(r"^\s*(\{\s*\}|\[\s*\])\s*$")
-    return F.coalesce(container & alone, F.lit(False))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), "text", F.lit("]")))
+    alone = F.col("_v").isNotNull() & F.try_variant_get("_v", "$[1]", "variant").isNull()
+    container = F.col("text").rlike(r"^\s*[{\[]") & ~F.col("text").rlike(r"^\s*(\{\s*\}|\[\s*\])\s*$")
+    ok = F.coalesce(container & alone, F.lit(False))
+    return log.select("*", once(wrapped).alias("_v")).select(*log.columns, once(ok).alias("_ok"))
 
 
 def parse_messages(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): messages with their fields, and texts that are no non-empty object or array."""
-    marked = log.select("*", once(is_json_container(F.col("text"))).alias("_ok"))
+    marked = mark_containers(log)
     rest = [c for c in log.columns if c != "text"]
     parsed = marked.where("_ok").select(*rest, once(F.from_json("text", MESSAGE)).alias("m"))
     fields = ["sessionId", "type", "event", "data"]

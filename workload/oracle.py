@@ -343,6 +343,7 @@ BODIES = {
         FROM holds WHERE granted <> enter""",
     "read_table_source": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "event_file": f"SELECT {_EVENT} FROM ar",
+    "event_file_stream": f"SELECT {_EVENT} FROM ar",
     "incremental_poll": "SELECT event_id, event_type FROM events",
     "messages_valid": "SELECT event_id, session_id, type, event, client, grp FROM valid",
     "messages_rejected": "SELECT event_id, text FROM junk WHERE event_id % 10 NOT IN (7, 8)",

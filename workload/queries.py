@@ -17,7 +17,8 @@ from tidemark.plans import booking_view as V, delta as DL, detectors as D, drift
 from tidemark.plans.lock_history import lock_history, read_requests
 from tidemark.session import materialize, shared_dir
 from tidemark.sources.bucketed_model import BucketedModel
-from tidemark.sources.events import read_event_file
+from tidemark.sources.event_stream import register_event_files
+from tidemark.sources.events import read_event_file, usable
 from tidemark.sources.ledger import append_ledger, ledger_for
 from tidemark.sources.messages import dispatch, parse_messages, payload, to_requests
 from tidemark.sources.read_model import ReadModel, upsert_rows
@@ -84,6 +85,19 @@ def event_file_array(spark, sf_dir):
     return read_event_file(spark, path)
 
 
+@query
+def event_file_stream(spark, sf_dir):
+    """The same events as files that land in two folders; the second run of the stream goes on where the first ended."""
+    root, name = scratch(spark, "events"), register_event_files(spark)
+    events = D.detect_ar(tables(spark, sf_dir), AS_OF, LOOKBACK)
+    for part in (0, 1):
+        events.where(F.pmod(F.xxhash64("id"), F.lit(2)) == part).write.json(f"{root}/in/part={part}")
+        rows = spark.readStream.format(name).option("path", f"{root}/in").load().where(usable()).select("id", "serial")
+        writer = rows.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @query
 def incremental_poll(spark, sf_dir):
     root = scratch(spark, "poll")
