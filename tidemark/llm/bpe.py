@@ -115,8 +115,12 @@ def boundaries(points: np.ndarray, kind: np.ndarray, first: np.ndarray, word_end
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points end to end, the byte at which each begins (and the end), and where each text begins (and the end)."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    widths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-    return points, np.concatenate([[0], widths.cumsum()]), np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+    widths = (points > 0x7F).view(np.int8) + np.int8(1)
+    for limit in (0x7FF, 0xFFFF):
+        widths += (points > limit).view(np.int8)
+    at = np.zeros(len(points) + 1, np.int64)
+    widths.cumsum(dtype=np.int64, out=at[1:])
+    return points, at, np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
 
 
 class Pieces:
@@ -153,15 +157,13 @@ class Pieces:
 
     def distinct(self) -> tuple[list[bytes], np.ndarray]:
         """Distinct pieces, and which of them each piece is; told apart by their bytes."""
-        lengths = self.ends - self.starts
-        begins = np.concatenate([[0], lengths.cumsum()])
-        data = np.frombuffer(self.data, np.uint8)
-        if begins[-1] < len(data):  # pieces don't overlap: what lies in none goes
-            edges = np.zeros(len(data) + 1, np.int8)
-            edges[self.starts] += 1
-            edges[self.ends] -= 1
-            data = data[edges[:-1].cumsum(dtype=np.int8).view(bool)]
-        column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(begins), pa.py_buffer(np.ascontiguousarray(data))])
+        n = len(self.starts)
+        if not n:
+            return [], np.zeros(0, np.int32)
+        cuts = np.empty(2 * n, np.int64)  # pieces and, between them, what lies in none
+        cuts[::2], cuts[1::2] = self.starts, self.ends
+        column = pa.Array.from_buffers(pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(cuts), pa.py_buffer(self.data)])
+        column = column.take(pa.array(np.arange(0, 2 * n, 2)))
         encoded = column.dictionary_encode()
         _, offsets, values = encoded.dictionary.buffers()
         cuts, found = np.frombuffer(offsets, np.int64)[: len(encoded.dictionary) + 1].tolist(), values.to_pybytes()
