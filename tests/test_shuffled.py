@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["contains_join"])
+@pytest.mark.parametrize("name", ["contains_join", "detect_ap", "multivalue_join", "row_disabled_flag", "model_rows"])
 def test_no_side_is_broadcast(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
