@@ -11,3 +11,9 @@ SF = "/root/testdata/sf0.001"
 def test_no_side_is_broadcast(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("name", ["fetch_events"])
+def test_no_side_of_a_fetch_is_broadcast(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
