@@ -13,7 +13,7 @@ def test_no_side_is_broadcast(spark, name):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-@pytest.mark.parametrize("name", ["fetch_events"])
+@pytest.mark.parametrize("name", ["fetch_events", "fetch_exclude_then_dedupe"])
 def test_no_side_of_a_fetch_is_broadcast(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
