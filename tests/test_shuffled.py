@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from workload.queries import _rebuild
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,3 +18,10 @@ def test_no_side_is_broadcast(spark, name):
 def test_no_side_of_a_fetch_is_broadcast(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_rebuilding_rows_broadcasts_no_side(spark):
+    """What ``process_partial_failure`` runs for each part of the ids."""
+    ids = entry.queries()["read_table_source"](spark, SF).selectExpr("CAST(o_orderkey AS STRING) AS booking_id")
+    plan = _rebuild(spark, SF)(ids)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
