@@ -25,3 +25,9 @@ def test_rebuilding_rows_broadcasts_no_side(spark):
     ids = entry.queries()["read_table_source"](spark, SF).selectExpr("CAST(o_orderkey AS STRING) AS booking_id")
     plan = _rebuild(spark, SF)(ids)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+
+
+def test_messages_are_routed_without_broadcasts(spark):
+    """The outbox by the step that ``lock_stream_outbox`` runs for each batch."""
+    plan = entry.queries()["outbox"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
