@@ -27,6 +27,11 @@ CODEC = pa.Codec("zstd", 1)
 HEAD = struct.Struct("<4sQQBB")  # mark, documents, ids, planes, whether document ids can be null
 
 
+def _parted(ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the zeros and of the ones: moving values by places costs less than half of doing so by masks."""
+    return np.flatnonzero(~ones), np.flatnonzero(ones)
+
+
 class WaveletMatrix:
     """Ids as bit planes, the highest first; each plane's order is the one above, its zeros before its ones."""
 
@@ -51,7 +56,7 @@ class WaveletMatrix:
         for bit in reversed(range(n_planes)):
             ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            ids = np.concatenate([ids.take(places) for places in _parted(ones)])
         return cls(planes, len(ids))
 
     def _bit(self, plane: int, at: int) -> int:
@@ -118,11 +123,10 @@ class WaveletMatrix:
         """All ids in order: each plane undoes the parting of the one above it."""
         values = np.zeros(self.size, np.uint32 if len(self.planes) > 16 else np.uint16)
         for weight, plane in enumerate(reversed(self.planes)):
-            ones = np.unpackbits(plane, count=self.size).view(bool)
-            zeros = self.size - int(np.count_nonzero(ones))
+            low, high = _parted(np.unpackbits(plane, count=self.size).view(bool))
             above = np.empty_like(values)
-            above[~ones] = values[:zeros]
-            above[ones] = values[zeros:] | values.dtype.type(1 << weight)
+            above[low] = values[: len(low)]
+            above[high] = values[len(low) :] | values.dtype.type(1 << weight)
             values = above
         return values
 
