@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_detectors import BEFORE, TODAY, tables  # noqa: F401
+from tidemark.operators import deltas
 from tidemark.operators.deltas import Store, joined_change, net, weighted
-from tidemark.plans import fetch as P
+from tidemark.plans import delta, fetch as P
 from tidemark.plans.delta import INPUTS, DeltaDetection, as_changes, split_changes
 from tidemark.streaming.polling import refresh_on_change
 
@@ -79,6 +80,36 @@ def test_a_batch_reads_its_keys_only(spark, frame, tmp_path):
     assert re.search(rf"PartitionFilters: \[[^\]]*bucket#\d+ = {bucket}\)", plan)
 
 
+def held_by_a_task(df):
+    """The most sorts and groups that one task of ``df`` holds: what lies between two exchanges, over all sides of its joins."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    nodes = [(len(m[1]), m[2]) for m in re.finditer(r"^([ :+-]*)(?:\* ?)?(?:\(\d+\) )?(\w+)", plan.split("== Initial Plan ==")[-1], re.M)]
+    most, open_ = 0, []  # of the nodes above: depth, and the counts of the task they are in
+
+    for depth, name in nodes:
+        while open_ and open_[-1][0] >= depth:
+            open_.pop()
+        within = open_[-1][1] if open_ and not re.search("Exchange|Union", open_[-1][2]) else [0]
+        within[0] += name in ("Sort", "HashAggregate", "ObjectHashAggregate")
+        most = max(most, within[0])
+        open_.append((depth, within, name))
+    return most, plan
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_a_task_holds_few_sorts_and_groups_and_no_side_is_broadcast(spark, given, tmp_path, monkeypatch, again):
+    found, written, write, add = DeltaDetection(spark, str(tmp_path / "state"), TODAY, buckets=3), [], deltas.materialize, Store.add
+    if again:
+        found.apply(given, 0)
+    for module in (deltas, delta):
+        monkeypatch.setattr(module, "materialize", lambda df: written.append(df) or write(df))
+    monkeypatch.setattr(Store, "add", lambda store, rows, batch: written.append(rows) or add(store, rows, batch))
+    found.apply(given, 1)
+    held = [held_by_a_task(df) for df in written]
+    assert not [plan for _, plan in held if "Broadcast" in plan]
+    assert 3 < max(n for n, _ in held) <= 9, [plan for n, plan in held if n > 9]
+
+
 def test_hot_keys_cost_their_rows_only_when_a_newer_event_comes(spark, given, tmp_path):
     blank = {
         "payable_head": spark.createDataFrame([(k, k, TODAY, TODAY, k, "N", "") for k in range(1, 60)], INPUTS["payable_head"]),

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators.merge import pick_first
+from tidemark.operators.shuffled import shuffled
 from tidemark.session import materialize
 
 WEIGHT = "weight"
@@ -81,13 +81,17 @@ class Store:
         log = self._log()
         return (log if batch is None else log.where(F.col("batch") <= batch)).select(*self.columns, WEIGHT)
 
+    def near(self, batch: int, buckets: list[int]) -> DataFrame:
+        """Changes up to ``batch`` in ``buckets``, with their batch: all that a join on this store's keys needs."""
+        rows = self._log().where((F.col("batch") <= batch) & F.col("bucket").isin(buckets) if buckets else F.lit(False))
+        return rows.select(*self.columns, WEIGHT, "batch")
+
     def at(self, batch: int, keys: DataFrame, buckets: list[int]) -> DataFrame:
-        """Changes up to ``batch`` of the rows with one of ``keys``, read from ``buckets`` only.
+        """Changes up to ``batch`` of the rows with one of ``keys``, read from ``buckets`` only, with their batch.
 
         ``keys`` have this store's key columns; they fall into ``buckets``.
         """
-        rows = self._log().where((F.col("batch") <= batch) & F.col("bucket").isin(buckets) if buckets else F.lit(False))
-        return rows.join(keys.select(*self.keys).distinct(), list(self.keys), "left_semi").select(*self.columns, WEIGHT)
+        return self.near(batch, buckets).join(shuffled(keys.select(*self.keys).distinct()), list(self.keys), "left_semi")
 
 
 def union(parts: list[DataFrame]) -> DataFrame | None:
@@ -95,7 +99,7 @@ def union(parts: list[DataFrame]) -> DataFrame | None:
 
 
 def _product(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    joined = left.withColumnRenamed(WEIGHT, "_left").join(right.withColumnRenamed(WEIGHT, "_right"), keys)
+    joined = left.withColumnRenamed(WEIGHT, "_left").join(shuffled(right.withColumnRenamed(WEIGHT, "_right")), keys)
     return joined.withColumn(WEIGHT, F.col("_left") * F.col("_right")).drop("_left", "_right")
 
 
@@ -107,16 +111,23 @@ def joined_change(left: Store, right: Store, batch: int, in_left: bool, in_right
     parts, keys = [], list(left.keys)
     if in_left:
         mine = left.of(batch)
-        parts.append(_product(mine, right.at(batch, mine, left.touched(batch)), keys))
+        parts.append(_product(mine, right.near(batch, left.touched(batch)).drop("batch"), keys))
     if in_right:
         mine = right.of(batch)
-        parts.append(_product(left.at(batch - 1, mine, right.touched(batch)), mine, keys))
+        parts.append(_product(left.near(batch - 1, right.touched(batch)).drop("batch"), mine, keys))
     return union(parts)
 
 
 def _newest(events: Store, batch: int, keys: DataFrame, buckets: list[int]) -> DataFrame:
-    live = net(events.at(batch, keys, buckets)).where(F.col(WEIGHT) > 0).drop(WEIGHT)
-    return pick_first(live, list(events.keys), [-F.col("stamp"), F.col("serial")])
+    """The serial of each key's newest event before a batch (``was``) and with it (``now``), NULL where none is live.
+
+    One pass for both, so that a task sorts and groups a key's events once.
+    """
+    before = F.when(F.col("batch") < batch, F.col(WEIGHT))
+    live = events.at(batch, keys, buckets).groupBy(*events.columns).agg(F.sum(before).alias("_was"), F.sum(WEIGHT).alias("_now"))
+    ranked = F.struct((-F.col("stamp")).alias("rank"), "serial")
+    first = [F.min(F.when(F.col(f"_{name}") > 0, ranked)).getField("serial").alias(name) for name in ("was", "now")]
+    return live.groupBy(*events.keys).agg(*first)
 
 
 def newest_join_change(events: Store, rows: Store, batch: int, in_events: bool, in_rows: bool) -> DataFrame | None:
@@ -128,16 +139,16 @@ def newest_join_change(events: Store, rows: Store, batch: int, in_events: bool,
     keys, parts, changed = list(events.keys), [], None
     if in_events:
         mine, buckets = events.of(batch), events.touched(batch)
-        was, now = (_newest(events, n, mine, buckets).select(*keys, F.col("serial").alias(name)) for n, name in ((batch - 1, "was"), (batch, "now")))
-        changed = materialize(was.join(now, keys, "full").where(~F.col("was").eqNullSafe(F.col("now"))))
+        changed = materialize(_newest(events, batch, mine, buckets).where(~F.col("was").eqNullSafe(F.col("now"))))
         for name, n, sign in (("was", batch - 1, -1), ("now", batch, 1)):
             given = changed.where(F.col(name).isNotNull()).select(*keys, F.col(name).alias("serial"), F.lit(sign).cast("bigint").alias(WEIGHT))
-            parts.append(_product(given, rows.at(n, given, buckets), keys))
+            parts.append(_product(given, rows.near(n, buckets).drop("batch"), keys))
     if in_rows:
         mine = rows.of(batch)
-        still = _newest(events, batch, mine, rows.touched(batch)).select(*keys, "serial", F.lit(1).cast("bigint").alias(WEIGHT))
+        still = _newest(events, batch, mine, rows.touched(batch)).where(F.col("now").isNotNull())
+        still = still.select(*keys, F.col("now").alias("serial"), F.lit(1).cast("bigint").alias(WEIGHT))
         if changed is not None:
-            still = still.join(changed, keys, "left_anti")
+            still = still.join(shuffled(changed), keys, "left_anti")
         parts.append(_product(still, mine, keys))
     found = union(parts)
     return None if found is None else found.select("id", "serial", WEIGHT)

@@ -24,7 +24,8 @@ from tidemark.operators.deltas import WEIGHT, Store, joined_change, net, newest_
 from tidemark.operators.filters import created_on, not_cancelled
 from tidemark.operators.joins import cell_keys, csv_refs, reference_keys
 from tidemark.operators.merge import with_stamp
-from tidemark.plans.detectors import changed_heads, detect_bn, stale_lists
+from tidemark.operators.shuffled import shuffled
+from tidemark.plans.detectors import changed_heads, detect_bn, listed, stale_ids
 from tidemark.plans.fetch import LEVEL, merge_events
 from tidemark.schemas import TABLES
 from tidemark.session import materialize
@@ -219,21 +220,27 @@ class DeltaDetection:
         def live(name: str, kind: str, n: int = batch) -> DataFrame:
             """The rows of the bookings touched, with their number."""
             keys = ids.where(F.col("kind") == kind).select(F.col("id").alias(store[name].keys[0]))
-            return net(store[name].at(n, keys, buckets)).where(F.col(WEIGHT) > 0)
+            return net(store[name].at(n, keys, buckets).drop("batch")).where(F.col(WEIGHT) > 0)
+
+        # Written out: what follows is by booking too, and a task would hold the sorts and groups of every input at once.
+        wanted = [(kind, name) for kind, names in inputs.items() if kinds[kind] for name in names]
+        with ThreadPoolExecutor(len(wanted)) as pool:
+            written = [pool.submit(inheritable_thread_target(self.spark)(lambda kind, name: materialize(live(name, kind))), *one) for one in wanted]
+            rows = dict(zip(wanted, [w.result() for w in written]))
 
         out = []
         if kinds["ARNR"]:
-            counts = live("live", "ARNR").withColumnRenamed(WEIGHT, "n_lines")
-            stale = stale_lists(live("model", "ARNR").select("booking_id", "ar_refs").distinct(), counts)
+            counts = rows["ARNR", "live"].withColumnRenamed(WEIGHT, "n_lines")
+            stale = listed(materialize(stale_ids(rows["ARNR", "model"].select("booking_id", "ar_refs").distinct(), counts)), counts)
             out.append(("ARNR", stale.select(F.col("booking_id").alias("id"), concat_text("AR", F.col("listed"), "-NR-").alias("part"))))
         if kinds["BN"]:
             names = {"item": "item", "pod": "pod", "pricing": "pricing", "read_model": "model"}
-            fresh = detect_bn({table: live(n, "BN") for table, n in names.items()}, self.as_of, self.lookback_days)
+            fresh = detect_bn({table: rows["BN", n] for table, n in names.items()}, self.as_of, self.lookback_days)
             out.append(("BN", fresh.select("id", F.col("serial").alias("part"))))
         if kinds["LEVEL"]:
-            model = live("model", "LEVEL").groupBy("booking_id").agg(F.sum(WEIGHT).alias("n_rows"), F.max(is_blank(F.col("ptf_no"))).alias("blank_ptf"))
-            pod = live("pod", "LEVEL").groupBy("booking_id").agg(F.max(~is_blank(F.col("ptf_no"))).alias("has_ptf"))
-            both = model.join(pod, "booking_id", "full").withColumnRenamed("booking_id", "id")
+            model = rows["LEVEL", "model"].groupBy("booking_id").agg(F.sum(WEIGHT).alias("n_rows"), F.max(is_blank(F.col("ptf_no"))).alias("blank_ptf"))
+            pod = rows["LEVEL", "pod"].groupBy("booking_id").agg(F.max(~is_blank(F.col("ptf_no"))).alias("has_ptf"))
+            both = model.join(shuffled(pod), "booking_id", "full").withColumnRenamed("booking_id", "id")
             tests = {"DUP": F.col("n_rows") > 1, "PTF": F.col("has_ptf") & F.col("blank_ptf"), "MISSING": F.col("n_rows").isNull()}
             out += [(name, both.where(test).select("id", F.lit(f"{name}-").alias("part"))) for name, test in tests.items()]
         now = [df.select("id", F.lit(name).alias("detector"), "part", F.lit(1).cast("bigint").alias(WEIGHT)) for name, df in out]
