@@ -1,8 +1,10 @@
 """Joins whose sides grow with the input gather none of them in the driver, however small the planner takes them to be."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 import __spark_entry__ as entry
+from workload import queries
 from workload.queries import _rebuild
 
 SF = "/root/testdata/sf0.001"
@@ -31,3 +33,20 @@ def test_messages_are_routed_without_broadcasts(spark):
     """The outbox by the step that ``lock_stream_outbox`` runs for each batch."""
     plan = entry.queries()["outbox"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("name", ["lock_stream_outbox"])
+def test_no_table_on_the_way_is_written_with_a_broadcast(spark, monkeypatch, name):
+    """Every batch of the stream."""
+    plans = []
+
+    def write(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return DataFrameWriter(df)
+
+    monkeypatch.setattr(queries, "_STREAMS", {})
+    monkeypatch.setattr(type(spark.range(1)), "write", property(write))
+    result = entry.queries()[name](spark, SF)
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not [p for p in plans if "Broadcast" in p]
