@@ -35,9 +35,9 @@ def test_messages_are_routed_without_broadcasts(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
-@pytest.mark.parametrize("name", ["lock_stream_outbox"])
+@pytest.mark.parametrize("name", ["lock_stream_outbox", "process_partial_failure"])
 def test_no_table_on_the_way_is_written_with_a_broadcast(spark, monkeypatch, name):
-    """Every batch of the stream."""
+    """Every batch of the stream, every part of the ids and every write of the read model."""
     plans = []
 
     def write(df):
