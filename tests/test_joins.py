@@ -124,3 +124,24 @@ def test_payment_chain(frame):
     payable = frame([(100, 5), (101, None)], "doc_entry bigint, doc_num bigint")
     got = J.payment_to_invoice(head, line, payable).select("pay_num", "doc_num")
     assert sorted(map(tuple, got.collect()), key=str) == [(10, 5), (10, None)]
+
+
+def test_many_equal_cells_are_paired_in_blocks_and_not_told_apart(frame, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 3)
+    cells = ["", "", "", "a", "a ", "a , b", "b", None, "b,b", "c,a", " "]
+    head = [(i, f"s{i}", c) for i, c in enumerate(cells)] + [(90, "s0", "a"), (91, "s1", ""), (92, None, ""), (93, None, "a")]
+    rows = [(f"i{i}", c) for i, c in enumerate(cells * 2)] + [("i0", "b"), ("i1", ""), (None, "")]
+    line = [(3, "i5"), (3, "i5"), (4, "i4"), (90, "i1"), (7, "i3"), (1, None)]
+    tokens = lambda c: [t for t in {t.strip() for t in c.split(",")}]
+    alike = lambda h, r: h is not None and r is not None and (h.rstrip(" ") == r.rstrip(" ") or h.rstrip(" ") in tokens(r) or r.rstrip(" ") in tokens(h))
+    named = lambda doc, i: any((doc, i) == x for x in line)
+    expected = {(i, s) for doc, s, h in head for i, r in rows if i is not None and (alike(h, r) or named(doc, i))}
+    frames = frame(head, "doc_entry long, serial string, pv_no string"), frame(line, "doc_entry long, item string"), frame(rows, "booking_id string, pv_no string")
+    joined = J.multivalue_join(*frames)
+    got = joined.collect()
+    assert len(got) == len(set(map(tuple, got))) and set(map(tuple, got)) == expected
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "_block" in plan[: plan.index("\n+- Project")] + plan[plan.rindex("\n+- Project") :]
+    blank = lambda c: c is not None and not c.strip()
+    unblank = {(i, s) for doc, s, h in head for i, r in rows if i is not None and ((alike(h, r) and not blank(h)) or named(doc, i))}
+    assert set(map(tuple, J.multivalue_join(*frames, blanks=False).collect())) == unblank
